@@ -7,6 +7,9 @@ its two line flags, minutes are prices / 1000; dates move 25 years on so that pu
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 VIEWS: dict[str, str] = {}
@@ -189,15 +192,25 @@ SELECT sheet_name, concat('id_', sheet_name) AS source_file_id, make_date(2026,
 TABLES = ["lineitem", "customer", "supplier", "documents"]
 
 
-def with_clause(extra: str = "") -> str:
-    """All views as common table expressions (unused ones cost nothing)."""
-    parts = [f"{name} AS ({text})" for name, text in VIEWS.items()]
-    return "WITH " + ",\n".join(parts + ([extra] if extra else []))
+def mentioned(text: str, names: Iterable[str]) -> list[str]:
+    return [name for name in names if re.search(rf"\b{name}\b", text)]
+
+
+def with_clause(body: str, extra: str = "") -> str:
+    """The views that ``body`` and ``extra`` need, as common table expressions."""
+    needed, queue = set(), mentioned(body + extra, VIEWS)
+    while queue:
+        name = queue.pop()
+        if name not in needed:
+            needed.add(name)
+            queue += mentioned(VIEWS[name], VIEWS)
+    parts = [f"{name} AS ({text})" for name, text in VIEWS.items() if name in needed]
+    return "WITH " + ",\n".join(parts + ([extra] if extra else [])) + "\n"
 
 
 def check_sql(body: str, extra: str = "") -> str:
     """A complete DuckDB statement over the views."""
-    return f"{with_clause(extra)}\n{body}"
+    return with_clause(body, extra) + body
 
 
 class Fixtures:
@@ -218,8 +231,8 @@ class Fixtures:
         return self._made[name]
 
     def sql(self, body: str) -> DataFrame:
-        tables = {t: self.spark.read.parquet(f"{self.folder}/{t}.parquet") for t in TABLES}
-        text = with_clause().replace("{", "{{").replace("}", "}}")
-        for table in TABLES:
-            text = text.replace(f"FROM {table}", f"FROM {{{table}}}")
-        return self.spark.sql(f"{text}\n{body}", **tables)
+        text = with_clause(body) + body
+        used = [t for t in TABLES if re.search(rf"FROM {t}\b", text)]
+        for table in used:
+            text = re.sub(rf"FROM {table}\b", f"FROM {{{table}}}", text)
+        return self.spark.sql(text, **{t: getattr(self, t) for t in used})

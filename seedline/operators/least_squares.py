@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..session import durable, rows_per_task
 
-TOLERANCE = 1e-11  # on the relative residual of the normal equations
+TOLERANCE = 1e-12  # on the relative residual of the normal equations
 MAX_ROUNDS = 1000
 BROADCAST_GROUPS = 100_000
 

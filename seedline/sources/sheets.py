@@ -36,7 +36,8 @@ def file_inventory(
 ) -> DataFrame:
     """Files under ``root`` whose sheet name starts with ``prefix``: name, id, time of change.
 
-    Only the listing is read, never the contents. ``recursive`` descends into sub-folders.
+    Only the listing is read, never the contents. ``recursive`` descends into sub-folders. With
+    ``folders`` a sheet is a folder of files instead of one file.
     """
     files = (
         spark.read.format("binaryFile")
@@ -44,11 +45,9 @@ def file_inventory(
         .option("recursiveFileLookup", str(recursive or folders).lower())
         .load(root)
     )
-    if not (recursive or folders):
-        # without the recursive option partition folders would still be descended into
-        depth = F.size(F.split("path", "/"))
-        files = files.withColumn("_depth", depth)
-        files = files.filter(F.col("_depth") == _depth_of(root) + 1).drop("_depth")
+    if not recursive:
+        depth = _depth_of(root) + (2 if folders else 1)
+        files = files.filter(F.size(F.split("path", "/")) == depth)
     files = files.select(
         sheet_name_of(F.col("path"), folders).alias("sheet_name"),
         F.col("path").alias("source_file_id"),
@@ -64,8 +63,8 @@ def file_inventory(
 
 
 def _depth_of(root: str) -> int:
-    path = root.rstrip("/")
-    return len((path if "://" in path or path.startswith("file:") else f"file:{path}").split("/"))
+    """Path parts of ``root`` in the form in which the file source reports paths."""
+    return len(root.rstrip("/").replace("file:///", "file:/").split("/"))
 
 
 def infra_result_files(inventory: DataFrame, source_type: str = "files") -> DataFrame:

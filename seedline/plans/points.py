@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
@@ -177,10 +177,14 @@ def with_points_rank(
     results: DataFrame, keys: list[str], points: str, out: str, *, spread: bool = False
 ) -> DataFrame:
     """Rank of the points; registered finishes without points share the place after all others."""
-    results = with_rank(results, keys, points, out, spread=spread)
-    scored = F.count(points)
-    results = with_group_stats(results, keys, {"_scored": scored}, spread=spread)
-    place = F.coalesce(F.col(out), F.col("_scored") + 1)
+    place = F.col(out)
+    if spread:
+        results = with_rank(results, keys, points, out, spread=True)
+        results = with_group_stats(results, keys, {"_scored": F.count(points)}, spread=True)
+        place = F.coalesce(place, F.col("_scored") + 1)
+    else:
+        window = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(points))
+        results = results.withColumn(out, F.rank().over(window).cast("bigint"))
     return results.withColumn(out, F.when(F.col("is_registered_finish"), place)).drop("_scored")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed_values import SHEET_HEADERS, SHEET_PREFIX
+from ..session import durable
 
 FILE_TYPE = "csv"
 
@@ -87,8 +88,8 @@ def standardize_columns(df: DataFrame, headers: dict[str, list[str]] = SHEET_HEA
     return columns
 
 
-def sheet_headers(spark: SparkSession, root: str, *, folders: bool = True) -> DataFrame:
-    """The header cells of every file: file, sheet_name, cells."""
+def header_lines(spark: SparkSession, root: str, *, folders: bool = True) -> DataFrame:
+    """The first line with text of every file: file, header. One row per file, written down once."""
     lines = _text_files(spark.read, folders).text(root)
     lines = lines.select(
         "value",
@@ -98,12 +99,7 @@ def sheet_headers(spark: SparkSession, root: str, *, folders: bool = True) -> Da
     )
     # the first block of a file lies in one task, where line numbers ascend
     first = lines.filter("block = 0 AND trim(value) <> ''").groupBy("file")
-    first = first.agg(F.min_by("value", "line").alias("header"))
-    width = first.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
-    shape = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    parsed = F.from_csv("header", shape.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
-    cells = F.array(*[F.trim(parsed[f"_c{i}"]) for i in range(width)])
-    return first.select("file", sheet_name_of(F.col("file"), folders).alias("sheet_name"), cells.alias("cells"))
+    return durable(first.agg(F.min_by("value", "line").alias("header")), "headers")
 
 
 def _text_files(reader, folders: bool):
@@ -123,26 +119,30 @@ def read_sheets(
     The files are read by position and each row looks its file's header up to find its columns, so
     there is neither a loop over files nor a list of files on the driver. No sheets, no rows.
     """
-    head = sheet_headers(spark, root, folders=folders)
-    width = head.agg(F.max(F.size("cells"))).first()[0]
+    lines = header_lines(spark, root, folders=folders)
+    width = lines.agg(F.max(F.size(F.split("header", ",")))).first()[0]
     standard = T.StructType([T.StructField(c, T.StringType()) for c in ["sheet_name", *headers]])
     if width is None:
         return spark.createDataFrame([], standard)
+    places = [f"_c{i}" for i in range(width)]
+    parsed = F.from_csv("header", ", ".join(f"{c} STRING" for c in places), {"escape": '"'})
+    cells = F.array(*[F.trim(parsed[c]) for c in places])
+    head = lines.select("file", sheet_name_of(F.col("file"), folders).alias("sheet_name"), cells.alias("cells"))
 
     positions = []
     for name, candidates in headers.items():
-        places = [F.nullif(F.array_position("cells", c), F.lit(0)) for c in candidates]
-        positions.append(F.coalesce(*places).cast("int").alias(f"_at_{name}"))
+        found = [F.nullif(F.array_position("cells", c), F.lit(0)) for c in candidates]
+        positions.append(F.coalesce(*found).cast("int").alias(f"_at_{name}"))
     layout = head.select("file", "sheet_name", *positions)
 
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in places])
     rows = (
         _text_files(spark.read, folders)
         .schema(schema)
         .csv(root, header=True, multiLine=multi_line, escape='"')
         .withColumn("file", F.col("_metadata.file_path"))
     )
-    cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
+    cells = F.array(*[F.col(c) for c in places])
     values = [
         F.nullif(F.get(cells, F.col(f"_at_{name}") - 1), F.lit("")).alias(name) for name in headers
     ]

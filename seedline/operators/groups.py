@@ -5,7 +5,9 @@ small, so the operators take it when the largest group has been counted and fits
 ``seedline.rowsPerTask``. Otherwise they take the distributed route (``spread=True``), where
 no task holds more of a group than its slice:
 
-* statistics: ``groupBy`` with partial aggregation, joined back (adaptive skew join);
+* statistics: ``groupBy`` with partial aggregation, written down and joined back. Adaptive
+  execution splits a hot key only when both sides of the join come straight from a shuffle, which
+  a grouped side does not; a table does, and its measured size may even allow a broadcast;
 * ranks and row numbers: range-partitioned slices with a carried count (``prefix_sums``).
 
 Both routes give the same answer.
@@ -49,7 +51,7 @@ def with_group_stats(
         window = Window.partitionBy(*keys)
         return df.withColumns({name: agg.over(window) for name, agg in stats.items()})
     totals = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in stats.items()])
-    return null_safe_join(df, totals, keys)
+    return null_safe_join(df, durable(totals, "totals"), keys)
 
 
 def prefix_sums(
@@ -149,4 +151,5 @@ def robust_means(
         limits.append(F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t)))
     inner = rows.filter(F.col("_v").between(*limits))
     mean = F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")
-    return inner.groupBy(*keys).agg(mean.alias(out))
+    # one row per group, written down so that joining it back needs no shuffle of the rows
+    return durable(inner.groupBy(*keys).agg(mean.alias(out)), "robust-means")

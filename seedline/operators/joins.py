@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# No broadcast hints in this module: the lookups are small as a rule but nothing bounds them,
-# so the optimiser decides from their size and adaptive execution from their measured size.
+from ..session import durable
+
+# No broadcast hints for lookups: they are small as a rule but nothing bounds them. They are
+# written down instead, so that their measured size decides, and so that a name shared by a third
+# of all rows can be split (adaptive execution only splits joins of two plain shuffles).
 
 
 def spelling_lookup(df: DataFrame, canonical: str, variant: str, line: str | None = None) -> DataFrame:
@@ -17,11 +20,8 @@ def spelling_lookup(df: DataFrame, canonical: str, variant: str, line: str | Non
     rows = df.select(
         F.col(variant).alias("variant"), F.col(canonical).alias("canonical"), position.alias("line")
     )
-    return (
-        rows.filter(F.col("variant").isNotNull())
-        .groupBy("variant")
-        .agg(F.max_by("canonical", "line").alias("canonical"))
-    )
+    rows = rows.filter(F.col("variant").isNotNull()).groupBy("variant")
+    return durable(rows.agg(F.max_by("canonical", "line").alias("canonical")), "spellings")
 
 
 def replace_by_lookup(df: DataFrame, column: str, lookup: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def replace_by_lookup(df: DataFrame, column: str, lookup: DataFrame) -> DataFram
 
 def flag_members(df: DataFrame, column: str, members: DataFrame, member: str, out: str) -> DataFrame:
     """True where ``column`` is listed in ``members``."""
-    listed = members.select(F.col(member).alias(column)).distinct().withColumn(out, F.lit(True))
+    listed = durable(members.select(F.col(member).alias(column)).distinct(), "members")
+    listed = listed.withColumn(out, F.lit(True))
     return df.join(listed, column, "left").withColumn(out, F.coalesce(out, F.lit(False)))
 
 

@@ -36,22 +36,24 @@ def fit_by_size(
     rows: DataFrame,
     keys: list[str],
     in_task: Callable[[DataFrame], DataFrame],
-    distributed: Callable[[DataFrame], DataFrame],
+    distributed: Callable[[DataFrame, bool], DataFrame],
 ) -> DataFrame:
-    """Send each group to the route that fits its row count."""
+    """Send each group to the route that fits its row count.
+
+    The distributed route is told whether its groups are few enough to broadcast a row for each.
+    """
     limit = rows_per_task(rows.sparkSession)
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     oversized = sizes.filter(F.col("n") > limit)
     n_groups, n_big = sizes.agg(F.count(F.lit(1)), F.count(F.when(F.col("n") > limit, 1))).first()
     if n_big == 0:
         return in_task(rows)
+    few = n_big <= BROADCAST_GROUPS  # at most (rows / limit) groups are oversized
     if n_big == n_groups:
-        return distributed(rows)
-    # at most (rows / limit) oversized groups, counted above
-    big = oversized.select(*keys)
-    big = F.broadcast(big) if n_big <= BROADCAST_GROUPS else big
+        return distributed(rows, few)
+    big = F.broadcast(oversized.select(*keys)) if few else oversized.select(*keys)
     small_fit = in_task(rows.join(big, keys, "left_anti"))
-    return small_fit.unionByName(distributed(rows.join(big, keys, "left_semi")))
+    return small_fit.unionByName(distributed(rows.join(big, keys, "left_semi"), few))
 
 
 # --- in one task -------------------------------------------------------------------
@@ -155,7 +157,10 @@ def winner_differences_in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def conjugate_gradients(
-    nodes: DataFrame, keys: list[str], neighbour_sums: Callable[[DataFrame], DataFrame]
+    nodes: DataFrame,
+    keys: list[str],
+    neighbour_sums: Callable[[DataFrame], DataFrame],
+    few: bool,
 ) -> DataFrame:
     """Solve ``degree*v - neighbour_sums(v) + c0*sum(v) + c1*u*(u.v) = rhs`` in every group.
 
@@ -173,7 +178,7 @@ def conjugate_gradients(
         F.sum("p").alias("sp"),
         F.sum(F.col("u") * F.col("p")).alias("up"),
     )
-    state = _by_group(start, opening.withColumn("rz0", F.col("rz")), keys)
+    state = _by_group(start, opening.withColumn("rz0", F.col("rz")), keys, few)
 
     carried = ["rz", "rz0", "sp", "up"]
     residual = F.when(F.col("rz0") > 0, F.col("rz") / F.col("rz0")).otherwise(0.0)
@@ -192,7 +197,7 @@ def conjugate_gradients(
         worst = seen.get["worst"] or 0.0
         if worst <= TOLERANCE**2:
             break
-        state = _by_group(work.drop(*carried), _step_sizes(work, keys), keys)
+        state = _by_group(work.drop(*carried), _step_sizes(work, keys), keys, few)
         state = state.withColumns(
             {
                 "x": F.col("x") + F.col("alpha") * F.col("p"),
@@ -205,9 +210,9 @@ def conjugate_gradients(
     return work.select(*keys, "node", "x")
 
 
-def _by_group(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    # `groups` has one row per oversized group; adaptive execution broadcasts it by measured size
-    return rows.join(groups, keys)
+def _by_group(rows: DataFrame, groups: DataFrame, keys: list[str], few: bool) -> DataFrame:
+    """Put one row per oversized group onto the rows; the number of groups was counted."""
+    return rows.join(F.broadcast(groups) if few else groups, keys)
 
 
 def _step_sizes(work: DataFrame, keys: list[str]) -> DataFrame:
@@ -240,8 +245,12 @@ def _step_sizes(work: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def race_effects_distributed(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Athlete effects by preconditioned conjugate gradients with the races eliminated."""
+def race_effects_distributed(rows: DataFrame, keys: list[str], few: bool) -> DataFrame:
+    """Athlete effects by preconditioned conjugate gradients with the races eliminated.
+
+    Sums per race are written down before they meet the cells again: a race that holds a third of
+    the cells is then split by adaptive execution, or needs no shuffle at all when the sums are small.
+    """
     cells = rows.groupBy(*keys, "race_id", "athlete_id").agg(
         F.count(F.lit(1)).cast("double").alias("w"), F.sum("y").alias("y")
     )
@@ -255,7 +264,7 @@ def race_effects_distributed(rows: DataFrame, keys: list[str]) -> DataFrame:
         rows = source.groupBy(*keys, "athlete_id").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
         return rows.withColumnRenamed("athlete_id", "node")
 
-    means = per_race(F.col("y"), "mean_y")
+    means = durable(per_race(F.col("y"), "mean_y"), "race-means")
     centred = cells.join(means, [*keys, "race_id"])
     nodes = per_athlete(centred, degree=F.col("w"), rhs=F.col("y") - F.col("w") * F.col("mean_y"))
     zero = F.lit(0.0)
@@ -265,10 +274,10 @@ def race_effects_distributed(rows: DataFrame, keys: list[str]) -> DataFrame:
         return cells.join(vector.withColumnRenamed("node", "athlete_id"), [*keys, "athlete_id"])
 
     def neighbour_sums(vector: DataFrame) -> DataFrame:
-        raced = per_race(F.col("w") * F.col("v"), "t", on_athletes(vector))
+        raced = durable(per_race(F.col("w") * F.col("v"), "t", on_athletes(vector)), "race-sums")
         return per_athlete(cells.join(raced, [*keys, "race_id"]), s=F.col("w") * F.col("t"))
 
-    athletes = conjugate_gradients(nodes, keys, neighbour_sums)
+    athletes = conjugate_gradients(nodes, keys, neighbour_sums, few)
     left_over = on_athletes(athletes).withColumn("rest", F.col("y") - F.col("w") * F.col("x"))
     races = per_race(F.col("rest"), "x", left_over).withColumnRenamed("race_id", "node")
     return centre_components(athletes, races, components(cells, keys), keys)
@@ -280,7 +289,7 @@ def components(cells: DataFrame, keys: list[str]) -> DataFrame:
     labels = links.select(*keys, "athlete_id").distinct().withColumn("label", F.col("athlete_id"))
     while True:
         race_labels = links.join(labels, [*keys, "athlete_id"]).groupBy(*keys, "race_id")
-        race_labels = race_labels.agg(F.min("label").alias("label"))
+        race_labels = durable(race_labels.agg(F.min("label").alias("label")), "race-labels")
         athlete_labels = links.join(race_labels, [*keys, "race_id"]).groupBy(*keys, "athlete_id")
         fresh = athlete_labels.agg(F.min("label").alias("_label")).join(labels, [*keys, "athlete_id"])
         seen = Observation()
@@ -322,11 +331,11 @@ def centre_components(
     shifts = parts.join(pull, keys).select(
         *keys, "label", (-(gap + F.col("lam") * n_a) / size).alias("shift")
     )
-    moved = effects.join(shifts, [*keys, "label"])
+    moved = effects.join(durable(shifts, "shifts"), [*keys, "label"])
     return moved.select(*keys, "kind", "node", (F.col("x") + sign * F.col("shift")).alias("effect"))
 
 
-def winner_differences_distributed(rows: DataFrame, keys: list[str]) -> DataFrame:
+def winner_differences_distributed(rows: DataFrame, keys: list[str], few: bool) -> DataFrame:
     """Athlete effects from differences to the winner, intercept centred out."""
     pairs = rows.groupBy(*keys, "athlete_id", "reference_athlete_id").agg(
         F.count(F.lit(1)).cast("double").alias("w"), F.sum("y").alias("y")
@@ -348,7 +357,7 @@ def winner_differences_distributed(rows: DataFrame, keys: list[str]) -> DataFram
     forward = F.col("sign") > 0
     groups = links.filter(forward).groupBy(*keys).agg((F.sum(w) + 1).alias("n_rows"), F.sum(y).alias("sum_y"))
     counts = nodes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    nodes = _by_group(nodes, groups.join(counts, keys), keys)
+    nodes = _by_group(nodes, groups.join(counts, keys), keys, few)
     n, n_rows = F.col("n"), F.col("n_rows")
     nodes = nodes.withColumn("u", (F.col("net") + 1 / n) / n_rows).withColumns(
         {
@@ -363,7 +372,7 @@ def winner_differences_distributed(rows: DataFrame, keys: list[str]) -> DataFram
         met = links.join(vector.withColumnRenamed("node", "src"), [*keys, "src"])
         return met.groupBy(*keys, F.col("dst").alias("node")).agg(F.sum(w * F.col("v")).alias("s"))
 
-    solved = conjugate_gradients(nodes, keys, neighbour_sums)
+    solved = conjugate_gradients(nodes, keys, neighbour_sums, few)
     return solved.select(*keys, F.col("node").alias("athlete_id"), F.col("x").alias("effect"))
 
 
@@ -376,7 +385,7 @@ def fit_race_effects(rows: DataFrame, keys: list[str]) -> DataFrame:
         rows,
         keys,
         lambda part: race_effects_in_tasks(part, keys),
-        lambda part: race_effects_distributed(part, keys),
+        lambda part, few: race_effects_distributed(part, keys, few),
     )
 
 
@@ -389,5 +398,5 @@ def fit_winner_differences(rows: DataFrame, keys: list[str]) -> DataFrame:
         rows,
         keys,
         lambda part: winner_differences_in_tasks(part, keys),
-        lambda part: winner_differences_distributed(part, keys),
+        lambda part, few: winner_differences_distributed(part, keys, few),
     )

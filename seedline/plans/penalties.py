@@ -67,7 +67,7 @@ def with_winner(rows: DataFrame) -> DataFrame:
         F.col("_w.time_float").alias("reference_time_float"),
         F.col("_w.athlete_id").alias("reference_athlete_id"),
     )
-    return rows.join(best, LIST_RACE, "left")
+    return rows.join(durable(best, "winners"), LIST_RACE, "left")
 
 
 def with_log_features(rows: DataFrame) -> DataFrame:
@@ -89,6 +89,7 @@ def results_by_penalty_window(
     registrations: DataFrame, results: DataFrame, races_by_window: DataFrame
 ) -> DataFrame:
     rows = registered_window_results(registrations, results, races_by_window)
+    rows = durable(rows, "registered-results")  # read for the winners and again for the rows
     return with_log_features(with_winner(rows)).select(*WINDOW_COLUMNS)
 
 

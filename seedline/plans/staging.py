@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import GENDERS, SHEET_CSV_URL, SHEET_EDIT_URL, SHEET_PREFIX
 from ..functions.text import strip
 from ..operators import checks
+from ..session import durable
 from ..sources.sheets import read_sheets
 
 OPTIONAL_RACE_COLUMNS = {
@@ -114,6 +115,7 @@ def staged_results(root: str, race_list: DataFrame, inventory: DataFrame) -> tup
     wanted = resolved.filter("source_file_id IS NOT NULL").select(
         "sheet_name", "race_id", "gender", "source_file_id", "prep_results_url"
     )
+    wanted = durable(wanted, "wanted-sheets")
     staged = sheets.join(wanted, "sheet_name").drop("sheet_name")
     return staged.withColumn("created_at", F.current_timestamp()), with_result_urls(races, resolved)
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seedline.operators import groups
+from seedline.session import durable
 
 
 @pytest.fixture(scope="module")
@@ -84,7 +85,7 @@ def test_skewed_join_is_split(spark):
             F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("race_id"),
             F.sha2(F.col("id").cast("string"), 256).alias("payload"),
         ).repartition(8)
-        right = left.select("race_id").distinct().withColumn("series", F.lit("s"))
+        right = durable(left.select("race_id").distinct().withColumn("series", F.lit("s")), "series")
         joined = left.join(right, "race_id", "left")
         assert joined.count() == 40000
         out = joined.groupBy("series").agg(F.max("payload"))

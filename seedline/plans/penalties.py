@@ -80,8 +80,9 @@ def with_log_features(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_athlete_place(rows: DataFrame, *, spread: bool = False) -> DataFrame:
+def with_athlete_place(rows: DataFrame) -> DataFrame:
     """Place among the registered athletes of the race, a diagnostic that is not published."""
+    spread = is_hot(rows, LIST_RACE)
     return with_rank(rows, LIST_RACE, "time_float", "ma_athlete_place", spread=spread)
 
 
@@ -180,7 +181,7 @@ def with_residual(rows: DataFrame, effects: DataFrame, out: str) -> DataFrame:
     return rows.withColumn(out, residual).drop("_race", "_athlete")
 
 
-def with_residual_stats(rows: DataFrame, residual: str, *, spread: bool = False) -> DataFrame:
+def with_residual_stats(rows: DataFrame, residual: str, *, spread: bool) -> DataFrame:
     """Count, mean and sample deviation of the athlete's residuals on the list."""
     value = F.col(residual)
     stats = {
@@ -197,9 +198,11 @@ def with_outlier_flag(
     *,
     min_races: int = OUTLIER_MIN_RACES,
     sigma: float = OUTLIER_SIGMA,
-    spread: bool = False,
+    spread: bool | None = None,
 ) -> DataFrame:
     """Races in which an athlete with enough of them was unusually slow."""
+    if spread is None:
+        spread = is_hot(rows, [*LIST, "athlete_id"])
     rows = with_residual_stats(rows, residual, spread=spread)
     slow = F.col(residual) > F.col("resid_mean") + sigma * F.col("resid_std")
     flag = (F.col("n_races") >= min_races) & (F.col("resid_std") > 0) & slow

@@ -63,7 +63,7 @@ def with_finish_flags(results: DataFrame) -> DataFrame:
     )
 
 
-def with_penaltied_counts(results: DataFrame, *, spread: bool = False) -> DataFrame:
+def with_penaltied_counts(results: DataFrame, *, spread: bool) -> DataFrame:
     """Penaltied finishers per race and gender."""
     counts = {
         f"penaltied_athlete_count_{v}": F.count(F.when(F.col(f"is_penaltied_athlete_finish_{v}"), 1))
@@ -72,7 +72,7 @@ def with_penaltied_counts(results: DataFrame, *, spread: bool = False) -> DataFr
     return with_group_stats(results, RACE, counts, spread=spread)
 
 
-def with_penaltied_places(results: DataFrame, *, spread: bool = False) -> DataFrame:
+def with_penaltied_places(results: DataFrame, *, spread: bool) -> DataFrame:
     """Rank of the time among the penaltied finishers of the race and gender."""
     for v in VINTAGES:
         flag, place = f"is_penaltied_athlete_finish_{v}", f"penaltied_athlete_place_{v}"
@@ -162,7 +162,7 @@ def with_points(results: DataFrame) -> DataFrame:
     )
 
 
-def with_season_ranks(results: DataFrame, *, spread: bool = False) -> DataFrame:
+def with_season_ranks(results: DataFrame, *, spread: bool) -> DataFrame:
     """Rank of the points among the athlete's results of the season, and per technique."""
     for v in VINTAGES:
         for name, keys in (
@@ -174,7 +174,7 @@ def with_season_ranks(results: DataFrame, *, spread: bool = False) -> DataFrame:
 
 
 def with_points_rank(
-    results: DataFrame, keys: list[str], points: str, out: str, *, spread: bool = False
+    results: DataFrame, keys: list[str], points: str, out: str, *, spread: bool
 ) -> DataFrame:
     """Rank of the points; registered finishes without points share the place after all others."""
     place = F.col(out)

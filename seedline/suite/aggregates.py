@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import Fixtures
 from ..operators import checks
-from ..operators.groups import robust_means
+from ..operators.groups import is_hot, robust_means
 from ..operators.joins import latest_on_or_before
 from ..plans import penalties, points, registrations, slots, standings, windows
 from . import sql
@@ -48,7 +48,7 @@ def agg_geomean(fx: Fixtures) -> DataFrame:
 @query("SELECT result_id, penaltied_athlete_count_25, penaltied_athlete_count_26 FROM placed", sql.PLACED)
 def agg_count_filter_window(fx: Fixtures) -> DataFrame:
     rows = points.results_with_penalties(fx.dim_results, fx.stand_in_penalties, fx.dim_registrations)
-    rows = points.with_penaltied_counts(rows)
+    rows = points.with_penaltied_counts(rows, spread=is_hot(fx.dim_results, points.RACE))
     return rows.select("result_id", "penaltied_athlete_count_25", "penaltied_athlete_count_26")
 
 

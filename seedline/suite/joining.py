@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..fixtures import Fixtures
 from ..functions import text
 from ..operators import checks
+from ..operators.groups import is_hot
 from ..operators.joins import replace_by_lookup, spelling_lookup
 from ..plans import penalties, points, results, slots, staging, standings, windows
 from . import sql
@@ -67,7 +68,8 @@ def join_registrations(fx: Fixtures) -> DataFrame:
 
 def placed(fx: Fixtures) -> DataFrame:
     rows = points.results_with_penalties(fx.dim_results, fx.stand_in_penalties, fx.dim_registrations)
-    return points.with_penaltied_places(points.with_penaltied_counts(rows))
+    hot = is_hot(fx.dim_results, points.RACE)
+    return points.with_penaltied_places(points.with_penaltied_counts(rows, spread=hot), spread=hot)
 
 
 @query(

@@ -72,9 +72,42 @@ def fit_2026(fx: Fixtures) -> DataFrame:
     return effects.select(*penalties.LIST, "kind", "node", rounded("effect", 5))
 
 
-@query()
+def unrolled_gradients(rounds: int = 45) -> str:
+    """The winner-difference fit in SQL: conjugate gradients from zero, every list at once."""
+    steps = [
+        f"""pairs AS MATERIALIZED (SELECT {GROUP}, athlete_id AS i, reference_athlete_id AS j, count(*) AS w, sum(time_log_ratio) AS y
+  FROM model_rows WHERE athlete_id <> reference_athlete_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT {GROUP}, i AS src, j AS dst, 1 AS sgn, w, y FROM pairs
+  UNION ALL SELECT {GROUP}, j, i, -1, w, y FROM pairs),
+sizes AS (SELECT {GROUP}, sum(w) + 1 AS n_rows, sum(y) AS sum_y FROM pairs GROUP BY ALL),
+ends AS (SELECT {GROUP}, src AS node, sum(w) AS degree, sum(sgn * w) AS net, sum(sgn * y) AS pull FROM links GROUP BY ALL),
+centred AS (SELECT *, count(*) OVER g AS n, (net + 1.0::DOUBLE / count(*) OVER g) / n_rows AS u FROM ends JOIN sizes USING ({GROUP})
+  WINDOW g AS (PARTITION BY {GROUP})),
+s0 AS MATERIALIZED (SELECT {GROUP}, node, degree, n, n_rows, u, 0.0::DOUBLE AS x, pull - u * sum_y AS r, pull - u * sum_y AS p FROM centred)"""
+    ]
+    window = f"WINDOW g AS (PARTITION BY {GROUP})"
+    for k in range(rounds):
+        steps.append(
+            f"""q{k} AS (SELECT s.*, degree * p - coalesce(b.near, 0) + sum(p) OVER g / (n * n) - n_rows * u * sum(u * p) OVER g AS q
+  FROM s{k} s LEFT JOIN (SELECT {GROUP}, dst AS node, sum(w * p) AS near FROM links JOIN (SELECT {GROUP}, node AS src, p FROM s{k}) v
+    USING ({GROUP}, src) GROUP BY ALL) b USING ({GROUP}, node) {window}),
+a{k} AS (SELECT *, sum(r * r) OVER g AS rr, CASE WHEN sum(r * r) OVER g > 1e-26 THEN sum(r * r) OVER g / sum(p * q) OVER g ELSE 0 END AS step
+  FROM q{k} {window}),
+t{k} AS (SELECT {GROUP}, node, degree, n, n_rows, u, p, rr, step, x + step * p AS x, r - step * q AS r FROM a{k}),
+s{k + 1} AS MATERIALIZED (SELECT {GROUP}, node, degree, n, n_rows, u, x, r,
+    r + CASE WHEN step > 0 THEN sum(r * r) OVER g / rr ELSE 0 END * p AS p FROM t{k} {window})"""
+        )
+    steps.append(f"winner_fit AS (SELECT {GROUP}, node AS athlete_id, x AS effect FROM s{rounds})")
+    return ",\n".join(steps)
+
+
+WINNER_FIT = sql.MODEL_ROWS + ", " + unrolled_gradients()
+
+
+@query(f"SELECT {GROUP}, athlete_id, {rounded_sql('effect', 'effect', 5)} FROM winner_fit", WINNER_FIT)
 def fit_2025(fx: Fixtures) -> DataFrame:
-    return penalties.fit_2025(window_results(fx))
+    effects = penalties.fit_2025(window_results(fx))
+    return effects.select(*penalties.LIST, "athlete_id", rounded("effect", 5))
 
 
 @query(

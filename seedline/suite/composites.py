@@ -10,6 +10,7 @@ from ..plans import penalties, registrations, results, staging, standings, windo
 from ..sources import sheets
 from . import sql
 from .joining import LATEST_SPELLING
+from .models import BOTH
 from .registry import query, rounded, rounded_sql
 from .rows import NEEDED, SEASONS
 from .scalars import CLEAN_SQL, FULL_NAME_SQL, GRADE_SQL, SCHOOL_SQL, TIME_SQL, scored, title_sql
@@ -165,7 +166,14 @@ def ext_registrations(fx: Fixtures) -> DataFrame:
     )
 
 
-@query()
+FITTED = BOTH + """, fitted_penalties AS (SELECT t.penalty_list_date, t.gender, t.athlete_id, a.standardized AS standardized_athlete_penalty_25,
+    b.standardized AS standardized_athlete_penalty_26
+  FROM (SELECT DISTINCT penalty_list_season, penalty_list_date, gender, athlete_id FROM base1) t
+  LEFT JOIN v25done a USING (penalty_list_season, penalty_list_date, gender, athlete_id)
+  LEFT JOIN v26done b USING (penalty_list_season, penalty_list_date, gender, athlete_id)), """
+
+
+@query("SELECT * FROM standings", FITTED + sql.STANDINGS.replace("stand_in_penalties", "fitted_penalties"))
 def standings_from_fitted_penalties(fx: Fixtures) -> DataFrame:
     """The whole way: windows, both fits, points, slots, standings."""
     races = windows.races_by_penalty_window(fx.publications, fx.contribution_windows, fx.dim_races)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import Fixtures
 from ..plans import penalties
+from ..plans.windows import races_by_penalty_window
 from ..session import durable
 from . import sql
 from .joining import RESIDUALS, residual_rows, stand_in
@@ -168,38 +169,36 @@ def standardize_cohort(fx: Fixtures) -> DataFrame:
     return rows.select(*penalties.LIST, "athlete_id", rounded("standardized"))
 
 
-# The table of both methods. Method 25 has no SQL form, so its columns are checked in the unit tests.
-FINISHED = (
-    SECOND_FIT
-    + f""", raw AS (SELECT {GROUP}, athlete_id, exp(effect) AS p FROM qathlete),
-scale1 AS (SELECT {GROUP}, avg(p) AS m FROM (SELECT *, quantile_cont(p, 0.25) OVER w AS lo, quantile_cont(p, 0.75) OVER w AS hi FROM raw
-    WINDOW w AS (PARTITION BY {GROUP})) t WHERE p BETWEEN lo AND hi GROUP BY ALL),
-stand AS (SELECT {GROUP}, athlete_id, p * 200 / m AS p FROM raw JOIN scale1 USING ({GROUP})), """
-    + COHORT.split("cohort AS", 1)[1].join(["cohort AS", ""])
-)
+def finished_sql(effects: str, tag: str) -> str:
+    """Scaling to the target and standardising by the first-date cohort: ``<tag>done`` with p and standardized."""
+    middle = f"""SELECT {GROUP}, avg(p) AS m FROM (SELECT @t.*, quantile_cont(p, 0.25) OVER w AS lo, quantile_cont(p, 0.75) OVER w AS hi
+    FROM @t WINDOW w AS (PARTITION BY {GROUP})) z WHERE p BETWEEN lo AND hi GROUP BY ALL"""
+    return f"""{tag}raw AS MATERIALIZED (SELECT {GROUP}, athlete_id, exp(effect) AS p FROM {effects}),
+{tag}mid AS ({middle.replace('@t', f'{tag}raw')}),
+{tag}scaled AS MATERIALIZED (SELECT {GROUP}, athlete_id, p * 200 / m AS p FROM {tag}raw JOIN {tag}mid USING ({GROUP})),
+{tag}first AS (SELECT penalty_list_season, gender, min(penalty_list_date) AS d FROM {tag}scaled GROUP BY ALL),
+{tag}cohort AS (SELECT x.* FROM {tag}scaled x WHERE EXISTS (SELECT 1 FROM {tag}first f JOIN {tag}scaled o ON o.penalty_list_season = f.penalty_list_season
+    AND o.gender = f.gender AND o.penalty_list_date = f.d
+  WHERE o.penalty_list_season = x.penalty_list_season AND o.gender = x.gender AND o.athlete_id = x.athlete_id)),
+{tag}level AS ({middle.replace('@t', f'{tag}cohort')}),
+{tag}done AS (SELECT {GROUP}, athlete_id, p, p * 200 / m AS standardized FROM {tag}scaled LEFT JOIN {tag}level USING ({GROUP}))"""
+
+
+BOTH = f"{SECOND_FIT}, {unrolled_gradients()}, {finished_sql('winner_fit', 'v25')}, {finished_sql('qathlete', 'v26')}"
+PENALTY_COLUMNS = [f"{prefix}athlete_penalty_{v}" for v in sql.VINTAGES for prefix in ("", "standardized_")]
 
 
 @query(
-    f"""SELECT {GROUP}, athlete_id, g.athlete_name, g.school, {rounded_sql('s.p', 'athlete_penalty_26', 3)},
-  {rounded_sql('s.p * 200 / m', 'standardized_athlete_penalty_26', 3)}
-FROM (SELECT DISTINCT {GROUP}, athlete_id FROM base1) t LEFT JOIN stand s USING ({GROUP}, athlete_id) LEFT JOIN means USING ({GROUP})
-LEFT JOIN dim_registrations g ON g.race_season = t.penalty_list_season AND g.athlete_id = t.athlete_id""".replace(
-        f"SELECT {GROUP}, athlete_id, g.athlete_name", "SELECT t.penalty_list_season, t.penalty_list_date, t.gender, t.athlete_id, g.athlete_name"
-    ),
-    FINISHED,
+    f"""SELECT t.penalty_list_season, t.penalty_list_date, t.gender, t.athlete_id, g.athlete_name, g.school, g.club, g.city_town, g.state,
+  g.usss_age, g.grade, g.is_ehs_eligible, g.is_u16c_eligible, {rounded_sql('a.p', 'athlete_penalty_25', 3)},
+  {rounded_sql('a.standardized', 'standardized_athlete_penalty_25', 3)}, {rounded_sql('b.p', 'athlete_penalty_26', 3)},
+  {rounded_sql('b.standardized', 'standardized_athlete_penalty_26', 3)}
+FROM (SELECT DISTINCT {GROUP}, athlete_id FROM base1) t LEFT JOIN v25done a USING ({GROUP}, athlete_id)
+LEFT JOIN v26done b USING ({GROUP}, athlete_id)
+LEFT JOIN dim_registrations g ON g.race_season = t.penalty_list_season AND g.athlete_id = t.athlete_id""",
+    BOTH,
 )
 def build_penalties(fx: Fixtures) -> DataFrame:
-    from ..plans.windows import races_by_penalty_window
-
     races = races_by_penalty_window(fx.publications, fx.contribution_windows, fx.dim_races)
     _, table = penalties.build_penalties(fx.dim_registrations, fx.dim_results, races)
-    columns = [rounded(c, 3) for c in ("athlete_penalty_26", "standardized_athlete_penalty_26")]
-    return table.select(*penalties.LIST, "athlete_id", "athlete_name", "school", *columns)
-
-
-@query()
-def penalties_both_methods(fx: Fixtures) -> DataFrame:
-    from ..plans.windows import races_by_penalty_window
-
-    races = races_by_penalty_window(fx.publications, fx.contribution_windows, fx.dim_races)
-    return penalties.build_penalties(fx.dim_registrations, fx.dim_results, races)[1]
+    return table.withColumns({c: rounded(c, 3) for c in PENALTY_COLUMNS})

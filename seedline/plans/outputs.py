@@ -5,22 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The last column of each order is ours: many rows share the published order (a season and gender
+# may be a third of the standings), and sorting by range could not spread them otherwise.
 ORDERS = {
-    "dim_registrations": ["athlete_name", "-race_season"],
-    "dim_athletes": ["athlete_name", "gender"],
-    "ext_races_by_penalty_window": ["-penalty_list_season", "penalty_list_date", "series", "race_date"],
+    "dim_registrations": ["athlete_name", "-race_season", "registration_id"],
+    "dim_athletes": ["athlete_name", "gender", "athlete_id"],
+    "ext_races_by_penalty_window": [
+        "-penalty_list_season",
+        "penalty_list_date",
+        "series",
+        "race_date",
+        "race_id",
+    ],
     "ext_results_by_penalty_window": ["race_date", "race_id", "gender", "athlete_id", "penalty_list_date"],
     "ext_athlete_penalties": [
         "penalty_list_season",
         "penalty_list_date",
         "gender",
         "standardized_athlete_penalty_26",
+        "athlete_id",
+    ],
+    "ext_results": ["race_date", "race_id", "gender", "time_float", "result_id"],
+    "ext_points_contributing_results": [
+        "athlete_name",
+        "race_season",
+        "technique",
+        "description",
+        "registration_id",
     ],
-    "ext_results": ["race_date", "race_id", "gender", "time_float"],
-    "ext_points_contributing_results": ["athlete_name", "race_season", "technique", "description"],
-    "ext_registrations": ["race_season", "gender"],
-    "infra_result_files": ["race_id", "-modified_at"],
-    "result_file_inventory": ["sheet_name", "-modified_at"],
+    "ext_registrations": ["race_season", "gender", "registration_id"],
+    "infra_result_files": ["race_id", "-modified_at", "file_id"],
+    "result_file_inventory": ["sheet_name", "-modified_at", "source_file_id"],
 }
 
 

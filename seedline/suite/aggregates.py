@@ -13,7 +13,7 @@ from ..plans import penalties, points, registrations, slots, standings, windows
 from . import sql
 from .joining import RESIDUALS, placed, residual_rows, stand_in
 from .registry import query, rounded, rounded_sql
-from .scalars import _model_base, scored
+from .scalars import _model_base, contributing, scored
 
 
 @query(
@@ -76,10 +76,6 @@ def agg_group_by_all(fx: Fixtures) -> DataFrame:
     return slots.scored_techniques(scored(fx))
 
 
-def contributing(fx: Fixtures) -> DataFrame:
-    return slots.points_contributing_results(scored(fx), fx.dim_registrations)
-
-
 @query(
     "SELECT registration_id, technique, "
     + sql.per_vintage(rounded_sql("technique_points_@v", "technique_points_@v", 7))

@@ -13,7 +13,7 @@ from .joining import LATEST_SPELLING
 from .models import BOTH
 from .registry import query, rounded, rounded_sql
 from .rows import NEEDED, SEASONS
-from .scalars import CLEAN_SQL, FULL_NAME_SQL, GRADE_SQL, SCHOOL_SQL, TIME_SQL, scored, title_sql
+from .scalars import CLEAN_SQL, FULL_NAME_SQL, GRADE_SQL, SCHOOL_SQL, TIME_SQL, contributing, scored, title_sql
 from .sources import write_sheets
 
 
@@ -151,9 +151,7 @@ def ext_results(fx: Fixtures) -> DataFrame:
     sql.SLOTS,
 )
 def points_contributing(fx: Fixtures) -> DataFrame:
-    from ..plans.slots import points_contributing_results
-
-    return points_contributing_results(scored(fx), fx.dim_registrations)
+    return contributing(fx)
 
 
 @query(

@@ -14,7 +14,7 @@ from ..plans import penalties, points, results, slots, staging, standings, windo
 from . import sql
 from .registry import query, rounded, rounded_sql
 from .rows import NEEDED, RESOLVED, resolved
-from .scalars import NAMED_SQL, _model_base, scored
+from .scalars import NAMED_SQL, _model_base, contributing, scored, scored_table
 
 
 @query("SELECT result_id, r.race_id, m.race_date, m.race_season, m.series FROM dim_results r LEFT JOIN dim_races m USING (race_id)")
@@ -173,7 +173,7 @@ def join_diagnostics(fx: Fixtures) -> DataFrame:
     sql.SLOTS.rsplit(", contributing AS", 1)[0],
 )
 def join_slots(fx: Fixtures) -> DataFrame:
-    table = scored(fx)
+    table = scored_table(fx)
     rows = slots.points_results(table)
     others = slots.other_slots(table, slots.qualifier_results(rows), slots.best_by_slot(rows))
     kinds = [f"contributing_race_{c}_{v}" for v in sql.VINTAGES for c in ("name", "points")]
@@ -194,8 +194,7 @@ def join_maq(fx: Fixtures) -> DataFrame:
 
 @query("SELECT registration_id, cl_points_25, cl_points_26, sk_points_25, sk_points_26 FROM totals", sql.STANDINGS)
 def join_techniques(fx: Fixtures) -> DataFrame:
-    table = slots.points_contributing_results(scored(fx), fx.dim_registrations)
-    wide = standings.by_technique(table)
+    wide = standings.by_technique(contributing(fx))
     rows = fx.dim_registrations.select("registration_id").join(wide, "registration_id", "left")
     return rows.select("registration_id", *[f"{t}_points_{v}" for t in ("cl", "sk") for v in sql.VINTAGES])
 

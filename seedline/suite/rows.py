@@ -9,7 +9,7 @@ from ..fixtures import Fixtures
 from ..plans import points, registrations, slots, staging, windows
 from . import sql
 from .registry import query
-from .scalars import scored
+from .scalars import contributing, scored
 
 EDIT = "'https://docs.google.com/spreadsheets/d/' || source_file_id || '/edit'"
 CSV = "'https://docs.google.com/spreadsheets/d/' || source_file_id || '/gviz/tq?tqx=out:csv'"
@@ -121,7 +121,7 @@ def window_start(fx: Fixtures) -> DataFrame:
     sql.SLOTS.rsplit(", contributing AS", 1)[0],
 )
 def slot_flags(fx: Fixtures) -> DataFrame:
-    table = slots.points_contributing_results(scored(fx), fx.dim_registrations)
+    table = contributing(fx)
     return table.select("registration_id", "technique", "description", "is_maq_finisher_25", "is_maq_finisher_26")
 
 

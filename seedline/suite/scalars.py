@@ -10,6 +10,7 @@ from ..functions import numbers, text
 from ..operators.joins import flag_members
 from ..fixed_values import UNIDENTIFIED_ATHLETE
 from ..plans import penalties, points, slots, standings
+from ..session import durable
 from . import sql
 from .registry import query, rounded, rounded_sql
 
@@ -172,6 +173,15 @@ def scored(fx: Fixtures) -> DataFrame:
     )
 
 
+def scored_table(fx: Fixtures) -> DataFrame:
+    """The points as a written table, for what reads them more than once."""
+    return durable(scored(fx), "ext-results")
+
+
+def contributing(fx: Fixtures) -> DataFrame:
+    return slots.points_contributing_results(scored_table(fx), fx.dim_registrations)
+
+
 @query(
     "SELECT result_id, "
     + sql.per_vintage(f"{rounded_sql('ma_time_penalty_ratio_@v', 'ma_time_penalty_ratio_@v', 9)}")
@@ -217,7 +227,7 @@ def fn_total_points(fx: Fixtures) -> DataFrame:
     sql.SLOTS,
 )
 def fn_coalesced_points(fx: Fixtures) -> DataFrame:
-    table = slots.points_contributing_results(scored(fx), fx.dim_registrations)
+    table = contributing(fx)
     kinds = [f"{c}_{v}" for c in ("coalesced_points", "coalesced_weight") for v in sql.VINTAGES]
     return table.select("registration_id", "technique", "description", *kinds)
 

@@ -12,7 +12,7 @@ from ..plans import outputs
 from . import sql
 from .joining import placed, stand_in
 from .registry import query
-from .scalars import _model_base, scored
+from .scalars import _model_base, contributing, scored, scored_table
 
 
 @query(
@@ -38,7 +38,7 @@ def win_season_rank(fx: Fixtures) -> DataFrame:
 
 @query("SELECT registration_id, technique, race_name, points, rk FROM best_26", sql.SLOTS)
 def win_best_non_maq(fx: Fixtures) -> DataFrame:
-    rows = slots.points_results(scored(fx)).filter("is_not_maq AND race_points_26 IS NOT NULL")
+    rows = slots.points_results(scored_table(fx)).filter("is_not_maq AND race_points_26 IS NOT NULL")
     rows = rows.select("registration_id", "technique", "race_name", "result_id", F.col("race_points_26").alias("points"))
     spread = is_hot(rows, slots.SLOT_KEY)
     ranked = with_row_number(rows, slots.SLOT_KEY, ["points", "result_id"], "rk", spread=spread)
@@ -112,5 +112,4 @@ def top_1_per_group(fx: Fixtures) -> DataFrame:
 
 @query(f"SELECT registration_id, technique, {sql.SLOT_NAMES} AS description FROM slots", sql.SLOTS.rsplit(", contributing AS", 1)[0])
 def union_all_by_name(fx: Fixtures) -> DataFrame:
-    table = slots.points_contributing_results(scored(fx), fx.dim_registrations)
-    return table.select("registration_id", "technique", "description")
+    return contributing(fx).select("registration_id", "technique", "description")

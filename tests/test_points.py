@@ -155,3 +155,11 @@ def test_qualifying_places(spark):
         got = {r[0]: (r[1], r[2]) for r in standings.with_qualifying_places(rows, spread=spread)
                .select("registration_id", "ehsc_qualifying_place_25", "u16c_qualifying_place_26").collect()}
         assert got == {"a": (1, 2), "b": (1, None), "c": (3, 3), "d": (None, 1), "e": (None, None), "f": (1, None)}
+
+
+def test_published_order(spark):
+    from seedline.plans.outputs import sort_output
+
+    rows = spark.createDataFrame([(2025, "g", "z"), (2026, "b", "y"), (2025, "b", "x"), (None, "b", "w"), (2025, "b", "a")],
+                                 "race_season long, gender string, registration_id string")
+    assert [r["registration_id"] for r in sort_output(rows, "ext_registrations").collect()] == ["a", "x", "z", "y", "w"]

@@ -53,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
     it is an error, because a machine-local path would not be visible to other executors.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
     if not context.master.startswith("local"):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import durable, rows_per_task
+from ..session import durable, rows_per_task, ship
 
 TOLERANCE = 1e-12  # on the relative residual of the normal equations
 GIVE_UP = 1e-8  # a worse residual after the last round is an error
@@ -137,6 +137,7 @@ def race_effects_in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
         )
         return out.assign(**dict(zip(keys, key)))[schema.names]
 
+    ship(rows.sparkSession)
     return rows.select(*keys, "race_id", "athlete_id", "y").groupBy(*keys).applyInPandas(solve, schema)
 
 
@@ -152,6 +153,7 @@ def winner_differences_in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
         return out.assign(**dict(zip(keys, key)))[schema.names]
 
     columns = [*keys, "athlete_id", "reference_athlete_id", "y"]
+    ship(rows.sparkSession)
     return rows.select(*columns).groupBy(*keys).applyInPandas(solve, schema)
 
 

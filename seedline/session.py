@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -25,6 +26,29 @@ CLUSTER_SETTINGS = {
 }
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Hand this package to the workers, so that functions running in tasks can be imported there.
+
+    Needed once per session; the zip goes through the driver's file server, as with ``--py-files``.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_seedline_shipped", False):
+        return spark
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="seedline-zip-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/seedline", "zip", package.parent, package.name))
+    context._seedline_shipped = True
+    return spark
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the cluster settings to a user's session and hand the package to its workers."""
+    for key, value in CLUSTER_SETTINGS.items():
+        spark.conf.set(key, value)
+    return ship(spark)
+
+
 def local_session(cores: str = "8", memory: str = "8g", **extra: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("seedline")
@@ -56,7 +80,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="seedline-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)

@@ -16,7 +16,9 @@ Extra input columns are not stored.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +34,8 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 1 << 20  # a shard is closed after the document that reaches this many ids
 BLOCK = 512  # bits between stored counts of ones
-WORDS_KEPT = 400_000  # entries of a worker's table before it is emptied
+WORDS_KEPT = 1_000_000  # entries of a worker's table before it is cut back
+WORDS_LEFT = 200_000  # entries left then: those met first, which are the frequent ones
 MARK = "\x01"  # stands between words encoded in one call
 
 SHARD_SCHEMA = (
@@ -166,6 +169,14 @@ class Encoder:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def _learn(self, words: list[str]) -> None:
+        """Letters and the punctuation behind them never share an id, and letters lose their case: so such
+        words are put together from their two parts, and only parts not seen before are encoded."""
+        parts = [_parts(word) for word in words]
+        self._encode_new(sorted({x for pair in parts for x in pair}.difference(self.known)))
+        for word, pair in zip(words, parts):
+            self.known[word] = b"".join(map(self.known.__getitem__, pair))
+
+    def _encode_new(self, words: list[str]) -> None:
         together = [w for w in words if MARK not in w] if len(self.mark) == 1 else []
         for at in range(0, len(together), 2000):
             part = together[at : at + 2000]
@@ -183,13 +194,22 @@ class Encoder:
         split = [text.replace("\n", " ").split(" ") if text else [] for text in texts]
         new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > WORDS_KEPT:
-            self.known.clear()
-            new = set().union(*split)
+            self.known = dict(itertools.islice(self.known.items(), WORDS_LEFT))
+            new = set().union(*split).difference(self.known)
         if new:
             self._learn(sorted(new))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=self.kind) for words in split]
 
 
+def _parts(word: str) -> tuple[str, ...]:
+    """A word of letters as (letters, punctuation behind them); ASCII letters in lower case, as the library makes them."""
+    letters = word.rstrip(string.punctuation)
+    if not letters.lower().isalpha():  # İ gains a mark in lower case, which goes with the punctuation
+        return (word,)
+    lower = letters.lower() if letters.isascii() else letters
+    return (lower,) if len(letters) == len(word) else (lower, word[len(letters) :])
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)

@@ -51,16 +51,16 @@ def build(ids: np.ndarray, bits: int) -> tuple[list[int], bytes, bytes]:
     """Zeros per plane, the packed planes, and the counts of ones before each block."""
     zeros, planes, ranks = [], [], []
     for shift in range(bits - 1, -1, -1):
-        ones = ((ids >> shift) & 1).astype(bool)
+        ones = (ids & ids.dtype.type(1 << shift)) != 0
         packed = np.packbits(ones)
         planes.append(packed.tobytes())
         full = np.zeros(-(-len(ids) // BLOCK) * BLOCK // 8, dtype=np.uint8)
         full[: len(packed)] = packed
         per_block = np.bitwise_count(full.reshape(-1, BLOCK // 8)).sum(axis=1, dtype=np.uint32)
         ranks.append((np.cumsum(per_block, dtype=np.uint32) - per_block).astype("<u4").tobytes())
-        left = ids[~ones]
+        left = ids[np.flatnonzero(~ones)]  # by place: quicker than by mask on mixed bits
         zeros.append(len(left))
-        ids = np.concatenate([left, ids[ones]])
+        ids = np.concatenate([left, ids[np.flatnonzero(ones)]])
     return zeros, b"".join(planes), b"".join(ranks)
 
 
@@ -138,8 +138,8 @@ class Shard:
         for plane in range(self.bits - 1, -1, -1):
             ones = np.unpackbits(self.planes[plane], count=self.n).view(bool)
             up = np.empty(self.n, dtype=kind)
-            up[ones] = ids[self.zeros[plane] :] | kind(1 << (self.bits - 1 - plane))
-            up[~ones] = ids[: self.zeros[plane]]
+            up[np.flatnonzero(ones)] = ids[self.zeros[plane] :] | kind(1 << (self.bits - 1 - plane))
+            up[np.flatnonzero(~ones)] = ids[: self.zeros[plane]]
             ids = up
         return ids
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, wavelet
+from . import byte_bpe, mixing, wavelet
 from .registry import LLM_CHECKS, LLM_QUERIES, query, table
 
 __all__ = ["LLM_CHECKS", "LLM_QUERIES"]
@@ -18,3 +18,9 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.round_trip(table(spark, folder, "documents"))
+
+
+@query(mixing.MIX_SQL)
+def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    takes = mixing.mix(table(spark, folder, "documents")).takes
+    return takes.select("doc_id", "size", "source_size", "target", "taken")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, mixing, wavelet
+from . import byte_bpe, chat, line_rules, mixing, wavelet
 from .registry import LLM_CHECKS, LLM_QUERIES, query, table
 
 __all__ = ["LLM_CHECKS", "LLM_QUERIES"]
@@ -24,3 +24,13 @@ def op10_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
 def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     takes = mixing.mix(table(spark, folder, "documents")).takes
     return takes.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(line_rules.RULES_SQL)
+def op4_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.verdicts(table(spark, folder, "documents"))
+
+
+@query(chat.CHAT_SQL)
+def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.digests(chat.with_probe(table(spark, folder, "conversations")))

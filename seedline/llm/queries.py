@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, line_rules, mixing, wavelet
+from . import byte_bpe, chat, line_rules, maxscore, mixing, wavelet
 from .registry import LLM_CHECKS, LLM_QUERIES, query, table
 
 __all__ = ["LLM_CHECKS", "LLM_QUERIES"]
@@ -34,3 +35,9 @@ def op4_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
 @query(chat.CHAT_SQL)
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.with_probe(table(spark, folder, "conversations")))
+
+
+@query(maxscore.SEARCH_SQL)
+def op7_maxscore(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = maxscore.quantised(table(spark, folder, "embeddings"))
+    return maxscore.search(vectors, F.col("vec_id") % maxscore.QUERY_EVERY == 0)

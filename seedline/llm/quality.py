@@ -8,19 +8,19 @@ log-densities and log-shares, each density from the Mahalanobis distance by the
 Null and empty texts have the statistics of an empty text and are scored like any other. Rows are scored one by
 one: repeated rows and null ids come back as they are. Labels are matched to texts by id; of several labels of
 an id the largest counts. With no labelled rows of a class, or none at all, every score is the share of label 1
-(1 without labels). Extra columns are carried through where asked, names beginning with ``_q`` are this module's.
+(1 without labels). Extra columns stay in ``accepted``; names beginning with ``_q`` are this module's.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import durable, ship
+from ..session import durable
 from .mixing import WORD_GAPS, word_count
 
 THRESHOLD = 0.7
@@ -37,16 +37,16 @@ def statistics(text: Column) -> list[Column]:
     n = word_count(whole)
     words = F.split(whole, WORD_GAPS)
     distinct = F.size(F.array_distinct(words))
-    per_char = size.cast("double") + 20.0
-    per_word = n.cast("double") + 4.0
+    per_char = size.cast("double") + 100.0
+    per_word = n.cast("double") + 16.0
 
     def rate(pattern: str) -> Column:
         return F.regexp_count(whole, F.lit(pattern)) / per_char
 
     return [
-        F.log(n + F.lit(4.0)),
-        F.log((size + F.lit(20.0)) / per_word),  # word length
-        F.log((distinct + F.lit(4.0)) / per_word) / F.log(per_word),  # repetition, made comparable over lengths
+        F.log(n + F.lit(16.0)),
+        F.log((size + F.lit(100.0)) / per_word),  # word length
+        F.log((distinct + F.lit(16.0)) / per_word) / F.log(per_word),  # repetition, made comparable over lengths
         F.sqrt(rate(r"[#*$%&|<>=+_~^\\]")),
         F.sqrt(rate(r"[A-Z]")),
         F.sqrt(rate(r"[.,;:]")),
@@ -64,15 +64,19 @@ class Model:
     offsets: tuple[float, ...]  # log share minus half the log determinant
     share: float  # of label 1
 
-    def score(self, x: np.ndarray) -> np.ndarray:
+    def score(self, features: Column) -> Column:
+        """The score of a column of statistics, as one JVM expression over the cached factors."""
         if len(self.means) < 2:
-            return np.full(len(x), self.share)
+            return F.lit(self.share)
         density = []
         for mean, factor, offset in zip(self.means, self.factors, self.offsets):
-            y = (x - mean) @ factor.T
-            density.append(offset - 0.5 * (y * y).sum(axis=1))
-        gap = np.clip(TEMPERATURE * (density[1] - density[0]), -500, 500)
-        return 1.0 / (1.0 + np.exp(-gap))
+            centred = [F.get(features, F.lit(i)) - F.lit(float(m)) for i, m in enumerate(mean)]
+            distance = F.lit(0.0)
+            for i, row in enumerate(factor):
+                y = reduce(lambda a, b: a + b, [c * F.lit(float(w)) for c, w in zip(centred, row[: i + 1])])
+                distance = distance + y * y
+            density.append(F.lit(offset) - distance * F.lit(0.5))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-TEMPERATURE) * (density[1] - density[0])))
 
 
 def fit(labelled: DataFrame, features: str = "_q", label: str = "_ql") -> Model:
@@ -108,25 +112,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def scored(docs: DataFrame, labels: DataFrame, text: str = "text", carried: tuple[str, ...] = (), label: str = "quality") -> DataFrame:
-    """doc_id, carried columns, held_out, score, predicted. Learns from labels of rows that are not held out."""
-    ship(docs.sparkSession)
-    measured = docs.select("doc_id", *carried, F.array(*statistics(F.col(text))).alias("_q"))
-    measured = durable(measured, "quality-statistics")
+def known_labels(labels: DataFrame, label: str = "quality") -> DataFrame:
+    """_qd, _ql: labels to learn from, one per id."""
     known = labels.where(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("_qd"))
-    known = known.agg(F.max(label).cast("int").alias("_ql"))
-    training = measured.join(known, measured["doc_id"] == known["_qd"]).select("_q", "_ql")
-    model = fit(training)
+    return known.agg(F.max(label).cast("int").alias("_ql"))
 
-    @F.pandas_udf("double")
-    def score(x: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack(x.to_numpy())) if len(x) else [], dtype="float64")
 
-    out = measured.select("doc_id", *carried, held_out(F.col("doc_id")).alias("held_out"), score("_q").alias("score"))
+def scored(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality") -> DataFrame:
+    """doc_id, held_out, score, predicted; one row per input row. Texts are measured once."""
+    measured = docs.select("doc_id", F.array(*statistics(F.col(text))).alias("_q"))
+    measured = durable(measured, "quality-statistics")
+    known = known_labels(labels, label)
+    model = fit(measured.join(known, measured["doc_id"] == known["_qd"]).select("_q", "_ql"))
+    out = measured.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("_q")).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are predicted to be good, with the columns of ``docs``."""
-    verdict = scored(docs, labels, carried=("text_key",)) if "text_key" in docs.columns else scored(docs.withColumn("text_key", F.md5(F.coalesce("text", F.lit("")))), labels, carried=("text_key",))
-    return verdict
+def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality") -> DataFrame:
+    """The rows of ``docs`` whose texts are predicted to be good; what is learned comes from labelled rows of ``docs``."""
+    known = known_labels(labels, label)
+    labelled = docs.select("doc_id", text).join(known, docs["doc_id"] == known["_qd"])
+    model = fit(labelled.select(F.array(*statistics(F.col(text))).alias("_q"), "_ql"))
+    kept = docs.withColumn("_q", F.array(*statistics(F.col(text)))).where(model.score(F.col("_q")) >= THRESHOLD)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

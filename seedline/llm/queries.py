@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, line_rules, maxscore, mixing, wavelet
+from . import byte_bpe, chat, line_rules, maxscore, mixing, quality, wavelet
 from .registry import LLM_CHECKS, LLM_QUERIES, query, table
 
 __all__ = ["LLM_CHECKS", "LLM_QUERIES"]
@@ -41,3 +41,8 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 def op7_maxscore(spark: SparkSession, folder: str) -> DataFrame:
     vectors = maxscore.quantised(table(spark, folder, "embeddings"))
     return maxscore.search(vectors, F.col("vec_id") % maxscore.QUERY_EVERY == 0)
+
+
+@query()
+def op3_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))

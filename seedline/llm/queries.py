@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, line_rules, maxscore, mixing, quality, wavelet
+from . import byte_bpe, chat, line_rules, maxscore, mixing, probminhash, quality, wavelet
 from .registry import LLM_CHECKS, LLM_QUERIES, query, table
 
 __all__ = ["LLM_CHECKS", "LLM_QUERIES"]
@@ -46,3 +46,8 @@ def op7_maxscore(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op2_probminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return probminhash.classes(table(spark, folder, "documents")).select("doc_id", "class_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, line_rules, maxscore, mixing, probminhash, quality, wavelet
+from . import byte_bpe, chat, html_text, line_rules, maxscore, mixing, probminhash, quality, secret_scan, wavelet
 from .registry import LLM_CHECKS, LLM_QUERIES, query, table
 
 __all__ = ["LLM_CHECKS", "LLM_QUERIES"]
@@ -51,3 +51,14 @@ def op3_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_probminhash(spark: SparkSession, folder: str) -> DataFrame:
     return probminhash.classes(table(spark, folder, "documents")).select("doc_id", "class_id")
+
+
+@query()
+def op1_tag_path_ratios(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query()
+def op6_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.findings(table(spark, folder, "documents"))
+    return found.select("doc_id", "start", F.length("token").cast("bigint").alias("length"), F.sha2("token", 256).alias("token_sha256"), "probability")

@@ -182,26 +182,29 @@ def decode_text(encoded: DataFrame, ids: str = "ids", to: str = "decoded", **fil
     return decode(encoded, ids, to, **files).withColumn(to, F.expr(f"make_valid_utf8(CAST(`{to}` AS string))"))
 
 
-def fingerprints(docs: DataFrame, text: str = "text", vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
-    """Encode, decode again, and return digests of ids and bytes with the number of tokens.
+def fingerprints(
+    docs: DataFrame, text: str = "text", carried: tuple[str, ...] = (), ids: bool = False, vocabulary: str | None = None, pattern: str | None = None
+) -> DataFrame:
+    """Encode, decode again, and return digests of ids and bytes with the number of tokens, in one pass.
 
-    doc_id, n_tokens, ids_sha256, decoded_sha256; one row per input row. The ids stay in the task: one pass.
+    doc_id, carried columns, n_tokens, ids_sha256, decoded_sha256 and, where asked, ids; one row per input row.
     """
     ship(docs.sparkSession)
     path, pattern = _vocabulary(vocabulary, pattern)
-    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    rows = docs.select(F.col(text).cast("string").alias("text"), F.col("doc_id").cast("bigint").alias("doc_id"), *[F.col(f"`{c}`") for c in carried])
+    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
+    schema = T.StructType([*rows.schema.fields[1:], *T._parse_datatype_string(added).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, pattern)
         for batch in batches:
-            rows = []
             for start in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(start, DOCS_AT_ONCE)
-                for doc, raw in zip(part.column(0).to_pylist(), coder.encode(part.column(1).to_pylist())):
-                    back = coder.decode(np.frombuffer(raw, dtype="<u4"))
-                    rows.append((doc, len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(back).hexdigest()))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(F.col("doc_id").cast("bigint"), F.col(text).cast("string")).mapInArrow(run, schema)
+                raw = coder.encode(part.column(0).to_pylist())
+                found = [np.frombuffer(x, dtype="<u4") for x in raw]
+                digests = [[hashlib.sha256(x).hexdigest() for x in raw], [hashlib.sha256(coder.decode(x)).hexdigest() for x in found]]
+                columns = [pa.array([len(x) for x in found], pa.int64()), *(pa.array(x, pa.string()) for x in digests)]
+                columns += [_lists(found)] if ids else []
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=schema.names)
+
+    return rows.mapInArrow(run, schema)

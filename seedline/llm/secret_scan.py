@@ -1,6 +1,7 @@
 """Secret scan: candidate strings, a random forest over their shape and surroundings, redaction.
 
-Candidates are strings of letters, digits and a few signs, at least ``LEAST`` characters long, with a digit. A
+Candidates are strings of letters, digits and a few signs, at least ``LEAST`` characters long,
+with a digit or an issuer's prefix. A
 forest decides which are secrets, from length, transitions between kinds of characters, coverage by
 dictionary words, the path (here the ``source``) and the words next to them. It is trained on labelled findings:
 ``labelled_findings`` makes a table of them by rule from hashes of row numbers, and any table of the
@@ -22,14 +23,15 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 
-LEAST = 12
+LEAST = 12  # characters of a candidate
 AROUND = 40  # characters on each side that are looked at
 TRAINED_ON = 6000  # findings made by ``labelled_findings``
 TREES, DEPTH, SEED = 30, 8, 7
 IS_SECRET = 0.5
 MASK = "[SECRET]"
 
-CANDIDATE = r"(?<![A-Za-z0-9_+/@.-])(?=[A-Za-z0-9_+/@.-]*[0-9])[A-Za-z0-9][A-Za-z0-9_+/@.-]{10,}[A-Za-z0-9]"
+ISSUERS = "AKIA|ASIA|gh[pousr]_|glpat-|xox[abp]-|sk_live_|sk-|AIza|eyJ"
+CANDIDATE = rf"(?<![A-Za-z0-9_+/@.-])(?=[A-Za-z0-9_+/@.-]*[0-9]|{ISSUERS})[A-Za-z0-9][A-Za-z0-9_+/@.-]{{{LEAST - 2},}}[A-Za-z0-9]"
 
 # Words that names and addresses are made of, words that stand before secrets, words of harmless places.
 DICTIONARY = (
@@ -79,7 +81,7 @@ def with_features(findings: DataFrame) -> DataFrame:
         "harmless_word": before.rlike(rf"(?<![a-z])({'|'.join(HARMLESS)})[\s\"':=]*$").cast("double"),
         "assigned": before.rlike(r"[=:]\s*[\"']?$").cast("double"),
         "quoted": (before.rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double"),
-        "issuer": t.rlike("^(AKIA|ASIA|gh[pousr]_|glpat-|xox[abp]-|sk_live_|sk-|AIza|eyJ)").cast("double"),
+        "issuer": t.rlike(f"^({ISSUERS})").cast("double"),
         "harmless_path": F.coalesce(F.col("path"), F.lit("")).rlike(HARMLESS_PATHS).cast("double"),
     }
     return findings.withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in columns.items()})

@@ -8,8 +8,8 @@ that agree make candidates; a link is a pair whose shingle sets have an exact Ja
 
 Texts that are equal are one class before anything else, so copies are never paired. Within a bucket, texts are
 not paired either: each is compared to the least text of the bucket (first only to the least over all its
-buckets), components are formed, and only texts of one bucket that are still in different components are
-compared with each other. Two linked texts of a common bucket end in one class, whatever the bucket's size.
+buckets), components are formed, and only texts of one bucket that are still in different components, and share
+enough of their shingles with any other such text, are compared with each other. Two linked texts of a common bucket end in one class, whatever the bucket's size.
 
 A text of fewer than five words is one shingle. Null, empty and blank texts are alone in their classes. A null id
 has no class (null) and links nothing. Rows are answered one by one, repeated rows alike; a class is named by its
@@ -188,6 +188,22 @@ def _size_fits(a: Column, b: Column, similarity: float) -> Column:
     return F.least(a, b) >= similarity * F.greatest(a, b)
 
 
+def _lone_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """node, lone: how many of a text's shingles no other text of ``nodes`` has (not listed where none)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                sets = [np.unique(shingles(t)).astype(np.int64) for t in part.column(1).to_pylist()]
+                owner = np.repeat(np.array(part.column(0).to_pylist(), dtype=np.int64), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.concatenate(sets))], names=["node", "shingle"])
+
+    each = texts.join(nodes, "node").select("node", "text").mapInArrow(run, "node bigint, shingle bigint")
+    seen = each.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("node").alias("node"))
+    return seen.where("texts = 1").groupBy("node").agg(F.count("*").alias("lone"))
+
+
 def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_key, class_id; one row per input row."""
     signs = durable(signed(docs, text), "signatures")
@@ -222,8 +238,14 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY)
     placed = _rooted(members.select("bucket", "node", "n"), roots, "node", "root")
     mixed = durable(placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket"), "buckets-mixed")
     placed = durable(placed.join(mixed, "bucket"), "members-mixed")
-    other = placed.select("bucket", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("b_root"))
-    cross = placed.join(other, "bucket").where((F.col("root") != F.col("b_root")) & (F.col("node") < F.col("b")) & _size_fits(F.col("n"), F.col("b_n"), similarity))
+    lone = durable(_lone_shingles(placed.select("node").distinct(), texts), "lone-shingles")
+    placed = placed.join(lone, "node", "left").withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone")
+    placed = durable(placed, "members-shared")
+    other = placed.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "root", "shared")]).withColumnRenamed("b_node", "b")
+    # what two texts have in common is at most what the one with less has in common with anything
+    most = F.least("shared", "b_shared")
+    reach = most * (1 + similarity) >= similarity * (F.col("n") + F.col("b_n")) - 1e-6
+    cross = placed.join(other, "bucket").where((F.col("root") != F.col("b_root")) & (F.col("node") < F.col("b")) & reach)
     compared = first.select(F.col("head").alias("a"), F.col("node").alias("b")).unionByName(second)
     third = durable(cross.select(F.col("node").alias("a"), "b").distinct().join(compared, ["a", "b"], "left_anti"), "pairs-third")
     roots = components(links.unionByName(_verified(third, texts, similarity)))

@@ -8,8 +8,9 @@ that agree make candidates; a link is a pair whose shingle sets have an exact Ja
 
 Texts that are equal are one class before anything else, so copies are never paired. Within a bucket, texts are
 not paired either: each is compared to the least text of the bucket (first only to the least over all its
-buckets), components are formed, and only texts of one bucket that are still in different components, and share
-enough of their shingles with any other such text, are compared with each other. Two linked texts of a common bucket end in one class, whatever the bucket's size.
+buckets), components are formed, and only texts of one bucket that are still in different components are
+compared with each other. Shingles that no other candidate has bound the similarity of every pair; pairs
+that cannot reach the limit are not compared. Two linked texts of a common bucket end in one class, whatever the bucket's size.
 
 A text of fewer than five words is one shingle. Null, empty and blank texts are alone in their classes. A null id
 has no class (null) and links nothing. Rows are answered one by one, repeated rows alike; a class is named by its
@@ -184,12 +185,19 @@ def _rooted(nodes: DataFrame, roots: DataFrame, node: str, name: str) -> DataFra
     return nodes.join(r, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _size_fits(a: Column, b: Column, similarity: float) -> Column:
-    return F.least(a, b) >= similarity * F.greatest(a, b)
+def _reach(n: Column, shared: Column, other_n: Column, other_shared: Column, similarity: float) -> Column:
+    """Whether two texts can be similar at all: their common shingles are at most the lesser of those they share with others."""
+    return F.least(shared, other_shared) * (1 + similarity) >= similarity * (n + other_n) - 1e-6
 
 
-def _lone_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """node, lone: how many of a text's shingles no other text of ``nodes`` has (not listed where none)."""
+def _shared(rows: DataFrame, lone: DataFrame, node: str, n: str, name: str) -> DataFrame:
+    """Add how many shingles of column ``node`` other texts have too."""
+    found = lone.select(F.col("node").alias(node), "lone")
+    return rows.join(found, node, "left").withColumn(name, F.col(n) - F.coalesce("lone", F.lit(0))).drop("lone")
+
+
+def _lone_shingles(texts: DataFrame) -> DataFrame:
+    """node, lone: how many of a text's shingles no other of the texts has (not listed where none)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,7 +207,7 @@ def _lone_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
                 owner = np.repeat(np.array(part.column(0).to_pylist(), dtype=np.int64), [len(x) for x in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.concatenate(sets))], names=["node", "shingle"])
 
-    each = texts.join(nodes, "node").select("node", "text").mapInArrow(run, "node bigint, shingle bigint")
+    each = texts.select("node", "text").mapInArrow(run, "node bigint, shingle bigint")
     seen = each.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("node").alias("node"))
     return seen.where("texts = 1").groupBy("node").agg(F.count("*").alias("lone"))
 
@@ -221,8 +229,12 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY)
     texts = durable(ids.join(_by_size(wanted), "node").groupBy("node", F.md5("text").alias("text_key")).agg(F.first("text").alias("text"))
                     .join(nodes.select("node", "text_key"), ["node", "text_key"]).select("node", "text"), "candidate-texts")
 
+    # what two texts have in common is at most what the one with less has in common with anything
+    lone = durable(_lone_shingles(texts), "lone-shingles")
+    members = durable(_shared(_shared(members, lone, "node", "n", "shared"), lone, "head", "head_n", "head_shared"), "members-shared")
+
     # each text with the least of the heads of its buckets
-    fits = members.where((F.col("node") != F.col("head")) & _size_fits(F.col("n"), F.col("head_n"), similarity))
+    fits = members.where((F.col("node") != F.col("head")) & _reach(F.col("n"), F.col("shared"), F.col("head_n"), F.col("head_shared"), similarity))
     first = durable(fits.groupBy("node").agg(F.min("head").alias("head")), "pairs-first")
     links = _verified(first.select(F.col("head").alias("a"), F.col("node").alias("b")), texts, similarity)
     roots = components(links)
@@ -235,16 +247,11 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY)
     roots = components(links)
 
     # with every text of a common bucket that is still elsewhere
-    placed = _rooted(members.select("bucket", "node", "n"), roots, "node", "root")
+    placed = _rooted(members.select("bucket", "node", "n", "shared"), roots, "node", "root")
     mixed = durable(placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket"), "buckets-mixed")
     placed = durable(placed.join(mixed, "bucket"), "members-mixed")
-    lone = durable(_lone_shingles(placed.select("node").distinct(), texts), "lone-shingles")
-    placed = placed.join(lone, "node", "left").withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone")
-    placed = durable(placed, "members-shared")
     other = placed.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "root", "shared")]).withColumnRenamed("b_node", "b")
-    # what two texts have in common is at most what the one with less has in common with anything
-    most = F.least("shared", "b_shared")
-    reach = most * (1 + similarity) >= similarity * (F.col("n") + F.col("b_n")) - 1e-6
+    reach = _reach(F.col("n"), F.col("shared"), F.col("b_n"), F.col("b_shared"), similarity)
     cross = placed.join(other, "bucket").where((F.col("root") != F.col("b_root")) & (F.col("node") < F.col("b")) & reach)
     compared = first.select(F.col("head").alias("a"), F.col("node").alias("b")).unionByName(second)
     third = durable(cross.select(F.col("node").alias("a"), "b").distinct().join(compared, ["a", "b"], "left_anti"), "pairs-third")

@@ -133,6 +133,7 @@ def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", label: str
     known = known_labels(labels, label)
     labelled = docs.select("doc_id", text).join(known, docs["doc_id"] == known["_qd"])
     model = fit(labelled.select(F.array(*statistics(F.col(text))).alias("_q"), "_ql"))
-    # transform binds the statistics, which the score uses many times, to be worked out once per text
-    score = F.get(F.transform(F.array(F.array(*statistics(F.col(text)))), model.score), F.lit(0))
-    return docs.where(score >= THRESHOLD)
+    # adding nothing by chance keeps the optimiser from putting the statistics into each of their many uses in the score
+    first, *rest = statistics(F.col(text))
+    kept = docs.withColumn("_q", F.array(first + F.rand(0) * 0.0, *rest)).where(model.score(F.col("_q")) >= THRESHOLD)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

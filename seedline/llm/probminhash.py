@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable, ship
-from .components import components
+from .components import components, with_links
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -236,15 +236,13 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY)
     # each text with the least of the heads of its buckets
     fits = members.where((F.col("node") != F.col("head")) & _reach(F.col("n"), F.col("shared"), F.col("head_n"), F.col("head_shared"), similarity))
     first = durable(fits.groupBy("node").agg(F.min("head").alias("head")), "pairs-first")
-    links = _verified(first.select(F.col("head").alias("a"), F.col("node").alias("b")), texts, similarity)
-    roots = components(links)
+    roots = components(_verified(first.select(F.col("head").alias("a"), F.col("node").alias("b")), texts, similarity))
 
     # with the other heads, where these are still elsewhere
     apart = _rooted(_rooted(fits.select("node", "head").distinct(), roots, "node", "root"), roots, "head", "head_root")
     apart = apart.where("root <> head_root").join(first, ["node", "head"], "left_anti")
     second = durable(apart.select(F.col("head").alias("a"), F.col("node").alias("b")), "pairs-second")
-    links = links.unionByName(_verified(second, texts, similarity))
-    roots = components(links)
+    roots = with_links(roots, _verified(second, texts, similarity))
 
     # with every text of a common bucket that is still elsewhere
     placed = _rooted(members.select("bucket", "node", "n", "shared"), roots, "node", "root")
@@ -255,7 +253,7 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY)
     cross = placed.join(other, "bucket").where((F.col("root") != F.col("b_root")) & (F.col("node") < F.col("b")) & reach)
     compared = first.select(F.col("head").alias("a"), F.col("node").alias("b")).unionByName(second)
     third = durable(cross.select(F.col("node").alias("a"), "b").distinct().join(compared, ["a", "b"], "left_anti"), "pairs-third")
-    roots = components(links.unionByName(_verified(third, texts, similarity)))
+    roots = with_links(roots, _verified(third, texts, similarity))
 
     classed = durable(_rooted(nodes.select("node", "text_key"), roots, "node", "root").select("text_key", "root"), "text-classes")
     out = signs.select("doc_id", "text_key", "n").join(classed, "text_key", "left")

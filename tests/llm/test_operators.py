@@ -207,6 +207,15 @@ def test_components(spark):
     assert out == {**{i: 0 for i in range(1, 51)}, 100: 0, 201: 200}
 
 
+def test_further_links_join_components(spark):
+    rng = random.Random(8)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(240)]
+    frames = [spark.createDataFrame(part, "a bigint, b bigint") for part in (links, links[:150], links[150:], [])]
+    found = {r.node: r.root for r in components.components(frames[0]).collect()}
+    assert found == {r.node: r.root for r in components.with_links(components.components(frames[1]), frames[2]).collect()}
+    assert components.with_links(frames[0], frames[3]) is frames[0] and components.components(frames[3]).count() == 0
+
+
 def test_quality_on_held_out_rows(spark, odd, none):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))

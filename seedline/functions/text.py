@@ -58,8 +58,10 @@ def to_number(c: Column) -> Column:
 
 
 def to_whole_number(c: Column) -> Column:
-    number = to_number(c.cast("string"))
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    value = c.cast("string")
+    number = to_number(value)
+    # digits alone first: a double holds whole numbers only up to 2^53
+    return F.when(number == F.floor(number), F.coalesce(F.trim(value).try_cast("bigint"), number.try_cast("bigint")))
 
 
 def parse_grade(c: Column) -> Column:

@@ -122,8 +122,9 @@ def latest_known(registrations: DataFrame) -> DataFrame:
 
 
 def registered_seasons(registrations: DataFrame) -> DataFrame:
-    """One boolean column per season, newest first. The seasons are read once (a handful of years)."""
-    seasons = sorted((r[0] for r in registrations.select("race_season").distinct().collect()), reverse=True)
+    """One boolean column per season, newest first. The seasons are read once (a handful of years); a NULL season has no column."""
+    known = registrations.select("race_season").distinct().dropna()
+    seasons = sorted((r[0] for r in known.collect()), reverse=True)
     flags = (
         registrations.groupBy("athlete_id")
         .pivot("race_season", seasons)

@@ -46,8 +46,9 @@ def test_small_lookups(spark):
     assert apply(spark, text.gender_code, ["M", "f", "b", "x", None]) == ["b", "g", "b", "x", None]
     clubs = ["My Team / Club is not listed.", "", "Eastern Mass Nordic, inc (EMXC)", "Ford", None]
     assert apply(spark, text.club_name, clubs) == [None, None, "EMXC", "Ford", None]
-    numbers_ = ["12", "12.0", "1.5", "NO LICENSE", "", None, "1d", " 7 "]
-    assert apply(spark, text.to_whole_number, numbers_) == [12, 12, None, None, None, None, None, 7]
+    numbers_ = ["12", "12.0", "1.5", "NO LICENSE", "", None, "1d", " 7 ", "12345678901234567"]
+    want = [12, 12, None, None, None, None, None, 7, 12345678901234567]
+    assert apply(spark, text.to_whole_number, numbers_) == want
 
 
 def test_full_name_and_school(spark):

@@ -8,9 +8,11 @@ that agree make candidates; a link is a pair whose shingle sets have an exact Ja
 
 Texts that are equal are one class before anything else, so copies are never paired. Within a bucket, texts are
 not paired either: each is compared to the least text of the bucket (first only to the least over all its
-buckets), components are formed, and only texts of one bucket that are still in different components are
-compared with each other. Shingles that no other candidate has bound the similarity of every pair; pairs
-that cannot reach the limit are not compared. Two linked texts of a common bucket end in one class, whatever the bucket's size.
+buckets) and components are formed. Texts of buckets that still hold several components are then joined by their
+rarest shingles: in one order of all shingles, rare ones first, two similar texts have a shingle in common among
+the first of either, and enough shingles after it. This exact condition, not the bucket, makes the last pairs, so
+a large bucket of texts that are all a little too different costs no pair. Shingles that no other candidate has
+bound the similarity of the pairs before. Two linked texts of a common bucket end in one class, whatever the bucket's size.
 
 A text of fewer than five words is one shingle. Null, empty and blank texts are alone in their classes. A null id
 has no class (null) and links nothing. Rows are answered one by one, repeated rows alike; a class is named by its
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable, ship
@@ -186,7 +188,7 @@ def _rooted(nodes: DataFrame, roots: DataFrame, node: str, name: str) -> DataFra
 
 
 def _reach(n: Column, shared: Column, other_n: Column, other_shared: Column, similarity: float) -> Column:
-    """Whether two texts can be similar at all: their common shingles are at most the lesser of those they share with others."""
+    """Whether two texts can be similar at all: their common shingles are at most the lesser of ``shared``."""
     return F.least(shared, other_shared) * (1 + similarity) >= similarity * (n + other_n) - 1e-6
 
 
@@ -196,20 +198,30 @@ def _shared(rows: DataFrame, lone: DataFrame, node: str, n: str, name: str) -> D
     return rows.join(found, node, "left").withColumn(name, F.col(n) - F.coalesce("lone", F.lit(0))).drop("lone")
 
 
-def _lone_shingles(texts: DataFrame) -> DataFrame:
-    """node, lone: how many of a text's shingles no other of the texts has (not listed where none)."""
+def _shingle_rows(texts: DataFrame) -> DataFrame:
+    """node, n, shingle: a row per text and distinct shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 sets = [np.unique(shingles(t)).astype(np.int64) for t in part.column(1).to_pylist()]
-                owner = np.repeat(np.array(part.column(0).to_pylist(), dtype=np.int64), [len(x) for x in sets])
-                yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.concatenate(sets))], names=["node", "shingle"])
+                sizes = np.array([len(x) for x in sets], dtype=np.int64)
+                owner = np.array(part.column(0).to_pylist(), dtype=np.int64)
+                columns = [np.repeat(owner, sizes), np.repeat(sizes, sizes), np.concatenate(sets)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["node", "n", "shingle"])
 
-    each = texts.select("node", "text").mapInArrow(run, "node bigint, shingle bigint")
-    seen = each.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("node").alias("node"))
-    return seen.where("texts = 1").groupBy("node").agg(F.count("*").alias("lone"))
+    return texts.select("node", "text").mapInArrow(run, "node bigint, n bigint, shingle bigint")
+
+
+def _rarest(rows: DataFrame, counts: DataFrame, similarity: float) -> DataFrame:
+    """node, n, shingle, rest: of each text the rarest shingles, as many as leave too few others for a similar text.
+
+    ``rest``: shingles of the text from this one on, itself included, rare ones first. Shingles that one text alone
+    has come first of all and join nothing; they are left out without changing ``rest``, which counts from the end."""
+    from_end = Window.partitionBy("node").orderBy(F.desc("texts"), F.desc("shingle"))
+    common = rows.join(counts.where("texts > 1").select("shingle", "texts"), "shingle")
+    return common.withColumn("rest", F.row_number().over(from_end).cast("bigint")).where(F.col("rest") >= similarity * F.col("n") - 1e-6).drop("texts")
 
 
 def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -230,7 +242,10 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY)
                     .join(nodes.select("node", "text_key"), ["node", "text_key"]).select("node", "text"), "candidate-texts")
 
     # what two texts have in common is at most what the one with less has in common with anything
-    lone = durable(_lone_shingles(texts), "lone-shingles")
+    rows = durable(_shingle_rows(texts), "shingles")
+    counts = durable(rows.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("node").alias("node")), "shingle-counts")
+    lone = durable(counts.where("texts = 1").groupBy("node").agg(F.count("*").alias("lone")), "lone-shingles")
+    rarest = durable(_rarest(rows, counts, similarity), "rarest-shingles")
     members = durable(_shared(_shared(members, lone, "node", "n", "shared"), lone, "head", "head_n", "head_shared"), "members-shared")
 
     # each text with the least of the heads of its buckets
@@ -244,13 +259,16 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY)
     second = durable(apart.select(F.col("head").alias("a"), F.col("node").alias("b")), "pairs-second")
     roots = with_links(roots, _verified(second, texts, similarity))
 
-    # with every text of a common bucket that is still elsewhere
-    placed = _rooted(members.select("bucket", "node", "n", "shared"), roots, "node", "root")
+    # what is still elsewhere in a common bucket, by rare shingles in common
+    placed = durable(_rooted(members.select("bucket", "node"), roots, "node", "root"), "members-placed")
     mixed = durable(placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket"), "buckets-mixed")
-    placed = durable(placed.join(mixed, "bucket"), "members-mixed")
-    other = placed.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "root", "shared")]).withColumnRenamed("b_node", "b")
-    reach = _reach(F.col("n"), F.col("shared"), F.col("b_n"), F.col("b_shared"), similarity)
-    cross = placed.join(other, "bucket").where((F.col("root") != F.col("b_root")) & (F.col("node") < F.col("b")) & reach)
+    unsettled = durable(placed.join(mixed, "bucket").select("node", "root").distinct(), "nodes-unsettled")
+    rare = durable(rarest.join(unsettled, "node"), "rarest-unsettled")
+    mixed = durable(rare.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("shingle"), "shingles-mixed")
+    rare = durable(rare.join(mixed, "shingle"), "rarest-mixed")
+    other = rare.select("shingle", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "root", "rest")]).withColumnRenamed("b_node", "b")
+    reach = _reach(F.col("n"), F.col("rest"), F.col("b_n"), F.col("b_rest"), similarity)
+    cross = rare.join(other, "shingle").where((F.col("root") != F.col("b_root")) & (F.col("node") < F.col("b")) & reach)
     compared = first.select(F.col("head").alias("a"), F.col("node").alias("b")).unionByName(second)
     third = durable(cross.select(F.col("node").alias("a"), "b").distinct().join(compared, ["a", "b"], "left_anti"), "pairs-third")
     roots = with_links(roots, _verified(third, texts, similarity))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..fixed_values import CLUB_SPELLINGS, CLUBS_MEANING_NONE, GENDER_CODES, GHOST_CATEGORY
 from ..fixtures import STAGED_REGISTRATION_NAMES, Fixtures
 from ..operators.joins import spelling_lookup
 from ..plans import penalties, registrations, results, staging, standings, windows
@@ -59,9 +60,7 @@ def dim_results(fx: Fixtures) -> DataFrame:
     return table.withColumn("time_float", rounded("time_float", 9))
 
 
-ELIGIBLE = """(regexp_full_match(trim(category), 'U16/EHS Qualif(er - Boys|ier - Girls)')
-    OR regexp_full_match(trim(category), 'Late U16/EHS Mass Nordic Cup - (Boys|Girls)( UNSEEDED)?'))"""
-CODE = "CASE lower(gender) WHEN 'm' THEN 'b' WHEN 'f' THEN 'g' END"
+CODE = f"CASE lower(gender) {sql.branches(GENDER_CODES)} ELSE lower(gender) END"
 REGISTERED = (
     SPELLED
     + f""", base AS (SELECT *, {FULL_NAME_SQL} AS full_name, {SCHOOL_SQL} AS school_title, {title_sql('school')} AS ghost_school,
@@ -69,16 +68,16 @@ REGISTERED = (
 both_kinds AS (
   SELECT full_name, school_title, city, state, club, gender, race_season, TRY_CAST(nensa AS BIGINT) AS nensa_number,
     TRY_CAST(usss AS BIGINT) AS usss_number, TRY_CAST(birth_year AS BIGINT) AS birth_year, parsed_grade AS grade, false AS is_ghost_registration
-  FROM base WHERE {ELIGIBLE}
+  FROM base WHERE {sql.ELIGIBLE}
   UNION ALL
-  SELECT full_name, ghost_school, city, state, club, gender, race_season, NULL, NULL, NULL, NULL, true FROM base WHERE category = 'GHOST'),
+  SELECT full_name, ghost_school, city, state, club, gender, race_season, NULL, NULL, NULL, NULL, true FROM base WHERE category = {sql.text(GHOST_CATEGORY)}),
 named AS (SELECT coalesce(v.canonical, full_name) AS athlete_name, coalesce(h.canonical, school_title) AS school, b.* EXCLUDE (gender),
     {CODE} AS gender FROM both_kinds b LEFT JOIN spelled v ON v.variant = full_name LEFT JOIN schools h ON h.variant = school_title),
 aged AS (SELECT *, left(sha256(gender || ',' || athlete_name), 12) AS athlete_id, race_season - 1 - birth_year AS usss_age,
-    coalesce(grade >= 9, false) AS is_ehs_eligible, coalesce(race_season - 1 - birth_year IN (14, 15), false) AS is_u16c_eligible FROM named),
+    coalesce({sql.EHS_GRADE}, false) AS is_ehs_eligible, coalesce({sql.U16_AGE}, false) AS is_u16c_eligible FROM named),
 registered AS (SELECT left(sha256(athlete_id || ',' || CAST(race_season AS VARCHAR)), 12) AS registration_id, race_season, athlete_id, athlete_name,
-    gender, is_ghost_registration, school, CASE club WHEN 'My Team / Club is not listed.' THEN NULL WHEN '' THEN NULL
-      WHEN 'Eastern Mass Nordic, inc (EMXC)' THEN 'EMXC' ELSE club END AS club, {title_sql('city')} AS city_town, upper(state) AS state,
+    gender, is_ghost_registration, school, CASE WHEN club IN {sql.listed(CLUBS_MEANING_NONE)} THEN NULL
+      ELSE CASE club {sql.branches(CLUB_SPELLINGS)} ELSE club END END AS club, {title_sql('city')} AS city_town, upper(state) AS state,
     nensa_number, usss_number, birth_year, grade, usss_age, is_ehs_eligible, is_u16c_eligible
   FROM aged WHERE is_ghost_registration OR is_ehs_eligible OR is_u16c_eligible)"""
 )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed_values import GHOST_CATEGORY
 from ..fixtures import Fixtures
 from ..plans import points, registrations, slots, staging, windows
 from . import sql
@@ -73,9 +74,8 @@ def derive_urls(fx: Fixtures) -> DataFrame:
 
 
 @query(
-    """SELECT last_name, race_season, category, coalesce(regexp_full_match(trim(category), 'U16/EHS Qualif(er - Boys|ier - Girls)')
-    OR regexp_full_match(trim(category), 'Late U16/EHS Mass Nordic Cup - (Boys|Girls)( UNSEEDED)?'), false) AS is_eligible,
-  coalesce(category = 'GHOST', false) AS is_ghost FROM staged_registrations"""
+    f"""SELECT last_name, race_season, category, coalesce({sql.ELIGIBLE}, false) AS is_eligible,
+  coalesce(category = {sql.text(GHOST_CATEGORY)}, false) AS is_ghost FROM staged_registrations"""
 )
 def category_filter(fx: Fixtures) -> DataFrame:
     category = F.col("category")
@@ -89,9 +89,9 @@ def category_filter(fx: Fixtures) -> DataFrame:
 
 
 @query(
-    """SELECT registration_id, race_season - 1 - birth_year AS usss_age, coalesce(grade BETWEEN 9 AND 12, false) AS is_ehs_eligible,
-  coalesce(race_season - birth_year IN (15, 16), false) AS is_u16c_eligible FROM dim_registrations
-WHERE is_ghost_registration OR coalesce(grade BETWEEN 9 AND 12, false) OR coalesce(race_season - birth_year IN (15, 16), false)"""
+    f"""SELECT registration_id, race_season - 1 - birth_year AS usss_age, coalesce({sql.EHS_GRADE}, false) AS is_ehs_eligible,
+  coalesce({sql.U16_AGE}, false) AS is_u16c_eligible FROM dim_registrations
+WHERE is_ghost_registration OR coalesce({sql.EHS_GRADE}, false) OR coalesce({sql.U16_AGE}, false)"""
 )
 def eligibility_flags(fx: Fixtures) -> DataFrame:
     base = fx.dim_registrations.drop("usss_age", "is_ehs_eligible", "is_u16c_eligible")

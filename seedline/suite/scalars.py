@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..fixtures import Fixtures
 from ..functions import numbers, text
 from ..operators.joins import flag_members
-from ..fixed_values import UNIDENTIFIED_ATHLETE
+from ..fixed_values import GRADE_NUMBERS, GRADE_WORDS, UNIDENTIFIED_ATHLETE
 from ..plans import penalties, points, slots, standings
 from ..session import durable
 from . import sql
@@ -89,11 +89,10 @@ def fn_unidentified(fx: Fixtures) -> DataFrame:
     return rows.select("race_id", "usss_id", "is_unidentified_athlete", name.alias("athlete_name"))
 
 
-GRADE_SQL = r"""coalesce(CAST(nullif(regexp_extract(list_aggregate(list_transform(range(7, 13), lambda n: CASE WHEN contains(grade, CAST(n AS VARCHAR))
-    THEN lpad(CAST(n AS VARCHAR), 2, '0') END), 'min'), '..'), '') AS BIGINT),
-  CASE WHEN regexp_matches(regexp_replace(lower(grade), '[^a-z0-9]', '', 'g'), 'freshman|firstyear') THEN 9
-    WHEN contains(lower(grade), 'sophomore') THEN 10 WHEN contains(lower(grade), 'junior') THEN 11
-    WHEN contains(lower(grade), 'senior') THEN 12 END)"""
+COMPACT_GRADE = "regexp_replace(lower(grade), '[^a-z0-9]', '', 'g')"
+GRADE_BRANCHES = [f"WHEN contains(grade, '{number}') THEN {number}" for number in GRADE_NUMBERS]
+GRADE_BRANCHES += [f"WHEN contains({COMPACT_GRADE}, '{word}') THEN {number}" for word, number in GRADE_WORDS.items()]
+GRADE_SQL = f"CAST(CASE {' '.join(GRADE_BRANCHES)} END AS BIGINT)"
 
 
 @query(f"SELECT last_name, grade, {GRADE_SQL} AS grade_number FROM staged_registrations")

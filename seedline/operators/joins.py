@@ -14,11 +14,10 @@ from ..session import durable
 # of all rows can be split (adaptive execution only splits joins of two plain shuffles).
 
 
-def spelling_lookup(df: DataFrame, canonical: str, variant: str, line: str | None = None) -> DataFrame:
-    """(variant, canonical) with one row per variant; the last line of the table wins."""
-    position = F.col(line) if line else F.monotonically_increasing_id()
+def spelling_lookup(df: DataFrame, canonical: str, variant: str, line: str) -> DataFrame:
+    """(variant, canonical) with one row per variant; the row of the highest ``line`` wins."""
     rows = df.select(
-        F.col(variant).alias("variant"), F.col(canonical).alias("canonical"), position.alias("line")
+        F.col(variant).alias("variant"), F.col(canonical).alias("canonical"), F.col(line).alias("line")
     )
     rows = rows.filter(F.col("variant").isNotNull()).groupBy("variant")
     return durable(rows.agg(F.max_by("canonical", "line").alias("canonical")), "spellings")

@@ -64,6 +64,8 @@ def minimum_norm(product: Callable[[np.ndarray], np.ndarray], rhs: np.ndarray) -
     x, r = np.zeros_like(rhs), rhs.copy()
     p, rr = r.copy(), rhs @ rhs
     first = rr
+    if not np.isfinite(first):
+        raise RuntimeError("a list has times that are not finite")
     for _ in range(10 * MAX_ROUNDS):
         if rr <= first * TOLERANCE**2:
             break
@@ -199,6 +201,8 @@ def conjugate_gradients(
         columns = [*keys, "node", *constants, "x", "r", "p", "q", *carried]
         work = durable(work.select(*columns), "cg-round", seen, F.max(residual).alias("worst"))
         worst = seen.get["worst"] or 0.0
+        if not np.isfinite(worst):
+            raise RuntimeError("a list has times that are not finite")
         if worst <= TOLERANCE**2:
             break
         state = _by_group(work.drop(*carried), _step_sizes(work, keys), keys, few)

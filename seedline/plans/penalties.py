@@ -49,7 +49,7 @@ def registered_window_results(
 ) -> DataFrame:
     """Timed results of window races by athletes registered in the list's season (ghosts included)."""
     races = races_by_window.select("penalty_list_season", "penalty_list_date", "race_id", "series")
-    timed = results.filter("time_float IS NOT NULL").select(
+    timed = results.filter("time_float IS NOT NULL AND NOT isnan(time_float)").select(
         "race_id", "athlete_id", "athlete_name", "race_date", "gender", "time_float"
     )
     registered = registrations.select(F.col("race_season").alias("penalty_list_season"), "athlete_id")

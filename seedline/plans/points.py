@@ -190,7 +190,10 @@ def with_points_rank(
 
 def points_text() -> Column:
     shown = (F.col("_list_season") >= FIRST_PUBLISHED_SEASON) & F.col("is_registered_finish")
-    return F.when(shown, F.col("race_points_26").cast("string")).otherwise(F.lit(""))
+    points = F.col("race_points_26")
+    # a double of ten million and more would print with an exponent
+    plain = F.regexp_replace(points.cast("decimal(38,2)").cast("string"), "0$", "")
+    return F.when(shown, F.when(points >= 1e7, plain).otherwise(points.cast("string"))).otherwise(F.lit(""))
 
 
 def reason_for_no_points() -> Column:

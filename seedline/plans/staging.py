@@ -42,8 +42,8 @@ def dim_races(races: DataFrame) -> DataFrame:
 
 
 def dev_sample(races: DataFrame, seed: int = 0) -> DataFrame:
-    """One random race per (season, series), for development runs."""
-    dice = F.xxhash64(F.lit(seed), "race_id")
+    """One random race per (season, series), for development runs; drawn by digest, so that any engine can repeat it."""
+    dice = F.md5(F.concat(F.lit(f"{seed},"), "race_id"))
     # min_by combines before the shuffle, so a series holding most races is no hot group
     whole = F.struct(*races.columns)
     picked = races.groupBy("race_season", "series").agg(F.min_by(whole, dice).alias("row"))

@@ -76,9 +76,13 @@ def apply_schema(df: DataFrame, dtypes: dict[str, str]) -> DataFrame:
 
     Rows and columns without any value are dropped, absent columns are skipped, and a column with
     a value that does not convert stays as it is, with a warning. One aggregate finds out all that.
+    A column whose type name is unknown stays as it is too, with a warning.
     """
     df = blank_to_null(df).dropna("all")
-    wanted = {n: TYPE_NAMES.get(t, t) for n, t in dtypes.items() if n in df.columns}
+    given = {n: t for n, t in dtypes.items() if n in df.columns}
+    for name in [n for n, t in given.items() if t not in TYPE_NAMES and t not in TYPE_NAMES.values()]:
+        warnings.warn(f"column {name!r} has the unknown type {given.pop(name)!r}, left as it is", stacklevel=2)
+    wanted = {n: TYPE_NAMES.get(t, t) for n, t in given.items()}
     known = [F.count(F.col(f"`{c}`")).alias(f"known_{i}") for i, c in enumerate(df.columns)]
     failed = [
         F.count(F.when(F.col(f"`{c}`").isNotNull() & _converted(c, wanted[c]).isNull(), 1)).alias(f"failed_{i}")

@@ -29,7 +29,10 @@ def build_dim_races(fx: Fixtures) -> DataFrame:
     return staging.dim_races(fx.race_list)
 
 
-@query()
+@query(
+    """SELECT * EXCLUDE place FROM (SELECT *, row_number() OVER (PARTITION BY race_season, series ORDER BY md5('7,' || race_id)) AS place
+  FROM dim_races) WHERE place = 1"""
+)
 def dev_sample(fx: Fixtures) -> DataFrame:
     return staging.dev_sample(fx.dim_races, seed=7)
 

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from seedline.operators.least_squares import fit_race_effects, fit_winner_differences
+from seedline.operators.least_squares import fit_race_effects, fit_winner_differences, minimum_norm
 
 KEYS = ["grp"]
 
@@ -70,6 +70,11 @@ def test_race_effects(spark, route):
         assert max(abs(mine[k] - want[k]) for k in want) < 1e-7
 
 
+def test_not_a_number_is_an_error():
+    with pytest.raises(RuntimeError, match="not finite"):
+        minimum_norm(lambda x: x, np.array([1.0, np.nan]))
+
+
 def winner_rows(pdf):
     best = pdf.sort_values(["y", "athlete_id"]).groupby("race_id").first()
     pdf = pdf.join(best, on="race_id", rsuffix="_w")

@@ -39,7 +39,7 @@ def test_query(spark, con, name):
 
 def test_registration():
     assert set(CHECKS) <= set(QUERIES)
-    assert set(QUERIES) - set(CHECKS) <= {"dev_sample"}
+    assert set(QUERIES) == set(CHECKS)
 
 
 @pytest.mark.parametrize("name", ["ext_registrations", "win_best_non_maq", "agg_robust_mean", "results_by_penalty_window"])

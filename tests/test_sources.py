@@ -105,6 +105,8 @@ def test_apply_schema(spark):
         out = prep.apply_schema(df, {"a": "int64", "b": "Int64", "c": "boolean", "d": "int64", "gone": "int64"})
     assert dict(out.dtypes) == {"a": "bigint", "b": "bigint", "c": "boolean", "d": "string"}
     assert [tuple(r) for r in out.collect()] == [(1, 2, True, "x"), (3, 4, False, "7")]
+    with pytest.warns(UserWarning, match="unknown type 'Int32'"):
+        assert prep.apply_schema(df, {"a": "Int32", "b": "bigint"}).dtypes[:2] == [("a", "string"), ("b", "bigint")]
 
 
 @pytest.fixture

@@ -1,7 +1,9 @@
 """Secret scan: candidate strings, a random forest over their shape and surroundings, redaction.
 
-Candidates are strings of letters, digits and a few signs, at least ``LEAST`` characters long,
-with a digit or an issuer's prefix. A
+Candidates are runs of letters, digits and a few signs, at least ``LEAST`` characters long, with a digit or an
+issuer's prefix: the whole run after its leading signs, its parts around an ``@``, and what begins with an issuer's
+prefix after a sign. The quoted or assigned value after a naming word is a candidate whatever its length and signs;
+an unquoted one also up to its first ``&``, ``,`` or ``;``. A
 forest decides which are secrets, from length, transitions between kinds of characters, coverage by
 dictionary words, the path (here the ``source``) and the words next to them. It is trained on labelled findings:
 ``labelled_findings`` makes a table of them by rule from hashes of row numbers, and any table of the
@@ -31,7 +33,6 @@ IS_SECRET = 0.5
 MASK = "[SECRET]"
 
 ISSUERS = "AKIA|ASIA|gh[pousr]_|glpat-|xox[abp]-|sk_live_|sk-|AIza|eyJ"
-CANDIDATE = rf"(?<![A-Za-z0-9_+/@.-])(?=[A-Za-z0-9_+/@.-]*[0-9]|{ISSUERS})[A-Za-z0-9][A-Za-z0-9_+/@.-]{{{LEAST - 2},}}[A-Za-z0-9]"
 
 # Words that names and addresses are made of, words that stand before secrets, words of harmless places.
 DICTIONARY = (
@@ -45,6 +46,21 @@ BEFORE_SECRETS = "token secret password passwd pwd apikey api_key api-key key cr
 HARMLESS = "commit sha digest checksum md5 hash uuid id version call phone tel card ip mail".split()
 HARMLESS_PATHS = r"(?i)test|example|sample|mock|fixture|docs?\b|\.lock"
 
+# Each pattern has the groups: what stands before the candidate in the match, the candidate, the text after it. No match is empty.
+LATER = rf"(?=([\s\S]{{0,{AROUND}}}))"
+RUN = rf"(?<![A-Za-z0-9_+/@.-])([_+/@.-]*+)(?=[A-Za-z_+/@.-]*[0-9]|{ISSUERS})([A-Za-z0-9][A-Za-z0-9_+/@.-]{{{LEAST - 2},}}[A-Za-z0-9]){LATER}"
+AT_SIGN = (
+    rf"(?<![A-Za-z0-9_+/.-])(?:(?<=@)|(?=[A-Za-z0-9_+/.-]++@))([_+/.-]*+)(?=[A-Za-z_+/.-]*[0-9]|{ISSUERS})"
+    rf"([A-Za-z0-9][A-Za-z0-9_+/.-]{{{LEAST - 2},}}[A-Za-z0-9]){LATER}"
+)
+ISSUED = rf"([_+/@.-])(?=[A-Za-z0-9_+/.-]{{{LEAST}}})((?:{ISSUERS})[A-Za-z0-9_+/.-]*[A-Za-z0-9]){LATER}"
+NAMING = "|".join(sorted(BEFORE_SECRETS, key=lambda w: (-len(w), w)))
+NAMED = rf"((?<![A-Za-z])(?:(?i:{NAMING})[\"']?(?:\s*+[=:]++>?+\s*+|\s++(?=[\"']))|(?i:bearer)\s++)[\"']?+)"
+VALUE = rf"{NAMED}(?=((?<=\").+?(?<!\\)(?=\")|(?<=').+?(?<!\\)(?=')|[^\s\"'`]*[^\s\"'`.,;:)\]}}>]){LATER})"
+FIRST_VALUE = rf"{NAMED}(?=([^\s\"'`&,;]+(?=[&,;])){LATER})"
+PATTERNS = [RUN, AT_SIGN, ISSUED, VALUE, FIRST_VALUE]
+LEADING = r"[\s\"':=>_+/@.-]*$"  # between a word and a candidate
+
 FEATURES = [
     "length", "letter_share", "upper_share", "digit_share", "sign_share", "hex_only", "turns", "longest_run", "distinct_share", "coverage", "dots",
     "at_sign", "slashes", "named", "harmless_word", "assigned", "quoted", "issuer", "harmless_path",
@@ -62,7 +78,7 @@ def with_features(findings: DataFrame) -> DataFrame:
     kinds = F.translate(
         F.regexp_replace(F.regexp_replace(F.regexp_replace(t, "[a-z]", "l"), "[A-Z]", "u"), "[0-9]", "d"), "_+/@.-", "ssssss"
     )
-    name = rf"(?<![a-z])({'|'.join(BEFORE_SECRETS)})[\s\"':=]*$"
+    name = rf"(?<![a-z])({'|'.join(BEFORE_SECRETS)}){LEADING}"
     columns = {
         "length": F.log(F.length(t)),
         "letter_share": _share(t, "[A-Za-z]"),
@@ -78,8 +94,8 @@ def with_features(findings: DataFrame) -> DataFrame:
         "at_sign": t.contains("@").cast("double"),
         "slashes": F.regexp_count(t, F.lit("/")).cast("double"),
         "named": before.rlike(name).cast("double"),
-        "harmless_word": before.rlike(rf"(?<![a-z])({'|'.join(HARMLESS)})[\s\"':=]*$").cast("double"),
-        "assigned": before.rlike(r"[=:]\s*[\"']?$").cast("double"),
+        "harmless_word": before.rlike(rf"(?<![a-z])({'|'.join(HARMLESS)}){LEADING}").cast("double"),
+        "assigned": before.rlike(r"[=:]>?\s*[\"']?[_+/@.-]*$").cast("double"),
         "quoted": (before.rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double"),
         "issuer": t.rlike(f"^({ISSUERS})").cast("double"),
         "harmless_path": F.coalesce(F.col("path"), F.lit("")).rlike(HARMLESS_PATHS).cast("double"),
@@ -105,9 +121,12 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINED_ON) -> DataFrame:
     spread = F.translate(upper, "23456789", "KQ3W5T7X")
     digits = F.translate(hashed("d", 40), "abcdef", "012345")
     word = [choice(f"w{k}", ["the", "and", "report", "user", "des", "leon", "ver", "einheit", "casa", "order", "mail", "data"]) for k in range(4)]
+    sign, phrase_sign = choice("z", list("!#$%&*?^~")), choice("y", ["-", "-", "_", "."])
     secret = F.array(
         hashed("h", 40), hashed("h", 32), hashed("h", 18), hashed("h", 64), F.concat(F.lit("AKIA"), spread), F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)),
         F.substring(mixed, 1, 24), F.concat(F.lit("sk_live_"), F.substring(mixed, 1, 24)), F.substring(mixed, 1, 40), F.concat(F.lit("AKIA"), upper),
+        F.concat(word[0], phrase_sign, word[1], phrase_sign, word[2], phrase_sign, word[3]), F.concat(F.initcap(word[0]), F.substring(digits, 1, 2), sign, F.initcap(word[1]), sign, F.substring(digits, 3, 1)),
+        F.concat(F.substring(mixed, 1, 5), sign, F.substring(mixed, 6, 5)), F.concat(F.lit("/"), F.substring(mixed, 1, 39)), F.concat(word[0], F.substring(digits, 1, 3)),
     )
     harmless = F.array(
         F.concat_ws(".", F.substring(digits, 1, 3), F.substring(digits, 4, 2), F.substring(digits, 6, 3), F.substring(digits, 9, 3)),
@@ -116,15 +135,18 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINED_ON) -> DataFrame:
         hashed("h", 40), hashed("h", 32), F.concat_ws("-", hashed("a", 8), hashed("b", 4), hashed("c", 4), hashed("e", 12)),
         F.concat(F.lit("20"), F.substring(digits, 1, 2), F.lit("-0"), F.substring(digits, 3, 1), F.lit("-1"), F.substring(digits, 4, 1), F.lit("T1"), F.substring(digits, 5, 1)),
         F.concat(word[0], F.initcap(word[1]), F.initcap(word[2]), F.substring(digits, 1, 1)),
+        word[0], choice("v", ["null", "none", "true", "required", "string", "optional", "<your-value>", "********", "${VALUE}", "[SECRET]", "1", "0"]),
+        F.concat(word[0], F.lit("."), word[1], F.lit("("), word[2], F.lit(")")), F.concat(F.lit("mail"), F.substring(digits, 3, 1), F.lit(".example.com")), F.concat_ws("_", word[0], word[1]),
     )
     label = F.col("id") % 2
-    kind = (drawn("kind", 10) + 1).cast("int")
+    kind = (drawn("kind", 15) + 1).cast("int")
     by_issuer = kind.isin(5, 6, 8, 10)
     named = F.concat(choice("n", ["token", "secret", "password", "api_key", "key", "auth", "access", "apikey"]), choice("q", [" = \"", "=", ": ", "=\"", ": '", " = "]))
+    named_bare = F.when(kind == 12, named).otherwise(F.concat(choice("n", ["token", "secret", "password", "api_key", "key", "auth", "access", "apikey"]), choice("q", ["=", ": ", " = "])))
     plain = F.concat_ws(" ", word[1], word[3], F.lit(""))
     told = F.concat(choice("c", ["commit ", "sha ", "digest: ", "checksum=", "md5: ", "hash ", "call ", "version "]), F.lit(""))
     before = F.when(label == 1, F.when(by_issuer & (drawn("p", 2) == 0), plain).otherwise(F.concat(plain, named)))
-    before = before.otherwise(F.when(kind.isin(6, 7), F.concat(plain, told)).when(drawn("p", 3) == 0, F.concat(plain, told)).otherwise(plain))
+    before = before.otherwise(F.when(kind.isin(11, 12, 13, 15), F.concat(plain, named_bare)).when(kind == 14, F.concat(plain, word[3], F.lit("@"))).when(kind.isin(6, 7), F.concat(plain, told)).when(drawn("p", 3) == 0, F.concat(plain, told)).otherwise(plain))
     rows_ = spark.range(0, rows, 1, 1).select(
         F.element_at(F.when(label == 1, secret).otherwise(harmless), kind).alias("token"),
         before.alias("before"),
@@ -144,7 +166,7 @@ def train(findings: DataFrame) -> RandomForestClassificationModel:
 
 def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
     """doc_id, text_key, path, token, start (characters before it), before, after."""
-    found = F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(CANDIDATE), F.lit(0)))
+    found = F.array_distinct(F.flatten(F.array(*[F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(p), F.lit(2)) for p in PATTERNS])))
 
     def around(token: Column) -> Column:
         at = F.instr(F.col(text), token)
@@ -167,12 +189,19 @@ def findings(docs: DataFrame, text: str = "text", path: str = "source", model: R
     return judged.where(F.col("probability") >= IS_SECRET).groupBy("doc_id", "text_key", "token", "start").agg(F.max("probability").alias("probability"))
 
 
+def _masked(text: Column, secret: Column) -> Column:
+    """Short strings are masked as words of their own only, as they also stand in longer ones."""
+    quoted = F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), F.replace(secret, F.lit("\\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![\p{L}\p{N}])"))
+    return F.when(F.length(secret) < LEAST, F.regexp_replace(text, quoted, F.lit(MASK))).otherwise(F.replace(text, secret, F.lit(MASK)))
+
+
 def redacted(docs: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
     """``docs`` with every occurrence of a found secret masked, and ``n_chars``, if there, brought up to date."""
-    secrets = findings(docs, text, path).groupBy(F.col("text_key").alias("_sk")).agg(F.sort_array(F.collect_set("token"), asc=False).alias("_st"))
+    secrets = findings(docs, text, path).groupBy(F.col("text_key").alias("_sk")).agg(F.collect_set(F.struct(F.length("token").alias("n"), "token")).alias("_st"))
+    secrets = secrets.withColumn("_st", F.sort_array("_st", asc=False)["token"])  # a string before those inside it
     secrets = durable(secrets, "secrets-by-text")
     joined = docs.withColumn("_sk", F.md5(F.col(text))).join(secrets, "_sk", "left")
-    masked = F.aggregate(F.coalesce("_st", F.array().cast("array<string>")), F.col(text), lambda t, s: F.replace(t, s, F.lit(MASK)))
+    masked = F.aggregate(F.coalesce("_st", F.array().cast("array<string>")), F.col(text), _masked)
     out = joined.withColumn(text, F.when(F.col("_st").isNull(), F.col(text)).otherwise(masked))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_st").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("bigint")))

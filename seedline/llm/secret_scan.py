@@ -9,7 +9,8 @@ dictionary words, the path (here the ``source``) and the words next to them. It
 ``labelled_findings`` makes a table of them by rule from hashes of row numbers, and any table of the
 same columns can be used in its place.
 
-Null and empty texts have no candidates. A string that occurs again in a text is one finding, at its first place;
+Null and empty texts have no candidates. Every place of a string is judged by its own
+neighbours; the string is one finding of the text, at its first place, with the largest probability;
 rows equal in text and id give their findings once. Null ids are kept in findings and null texts in redaction.
 Only DataFrame and JVM operations are used. Extra columns stay in ``redacted``; names beginning with ``_s`` are
 this module's.
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
@@ -165,19 +166,29 @@ def train(findings: DataFrame) -> RandomForestClassificationModel:
 
 
 def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
-    """doc_id, text_key, path, token, start (characters before it), before, after."""
-    found = F.array_distinct(F.flatten(F.array(*[F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(p), F.lit(2)) for p in PATTERNS])))
-
-    def around(token: Column) -> Column:
-        at = F.instr(F.col(text), token)
-        low = F.greatest(F.lit(1), at - AROUND)
-        return F.struct(
-            token.alias("token"), (at - 1).cast("bigint").alias("start"),
-            F.substring(F.col(text), low, at - low).alias("before"), F.substring(F.col(text), at + F.length(token), F.lit(AROUND)).alias("after"),
-        )
-
-    held = docs.select("doc_id", F.md5(F.col(text)).alias("text_key"), F.col(path).alias("path"), F.explode(F.transform(found, around)).alias("f"))
-    return held.select("doc_id", "text_key", "path", "f.*")
+    """doc_id, text_key, path, token, start (characters before it), before, after; a row per place and pattern."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    held = docs.select("doc_id", F.md5(F.col(text)).alias("text_key"), F.col(path).alias("path"), whole.alias("_sw"), F.monotonically_increasing_id().alias("_sr"))
+
+    def places(number: int, pattern: str) -> Column:
+        # the text split by the pattern has a piece more than there are matches
+        groups = [F.regexp_extract_all("_sw", F.lit(pattern), F.lit(g)) for g in range(4)]
+        zipped = F.arrays_zip(F.split("_sw", pattern, -1), *groups).cast("array<struct<gap:string,match:string,lead:string,token:string,after:string>>")
+        return F.transform(zipped, lambda x, i: F.struct(
+            F.lit(number).alias("pattern"), i.alias("place"), F.right(x["gap"], F.lit(AROUND)).alias("gap"), F.length(x["gap"]).cast("bigint").alias("gap_length"),
+            x["match"].alias("match"), x["lead"].alias("lead"), x["token"].alias("token"), x["after"].alias("after"),
+        ))
+
+    every = F.concat(*[places(n, p) for n, p in enumerate(PATTERNS)])
+    rows = held.select("doc_id", "text_key", "path", "_sr", F.explode(every).alias("f")).select("doc_id", "text_key", "path", "_sr", "f.*").where("token IS NOT NULL")
+    earlier = Window.partitionBy("_sr", "pattern").orderBy("place")
+    passed = F.coalesce(F.sum(F.col("gap_length") + F.length("match")).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # every place before adds a character at least
+    tails = F.collect_list(F.right(F.concat("gap", "match"), F.lit(AROUND))).over(earlier.rowsBetween(-AROUND, -1))
+    return rows.select(
+        "doc_id", "text_key", "path", "token", (passed + F.col("gap_length") + F.length("lead")).cast("bigint").alias("start"),
+        F.right(F.concat(F.array_join(tails, ""), F.col("gap"), F.col("lead")), F.lit(AROUND)).alias("before"), "after",
+    )
 
 
 def findings(docs: DataFrame, text: str = "text", path: str = "source", model: RandomForestClassificationModel | None = None) -> DataFrame:
@@ -186,7 +197,8 @@ def findings(docs: DataFrame, text: str = "text", path: str = "source", model: R
     measured = durable(with_features(candidates(docs, text, path)), "secret-candidates")
     judged = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="_sv").transform(measured))
     judged = judged.withColumn("probability", F.get(vector_to_array("probability"), F.lit(1)))
-    return judged.where(F.col("probability") >= IS_SECRET).groupBy("doc_id", "text_key", "token", "start").agg(F.max("probability").alias("probability"))
+    strings = judged.groupBy("doc_id", "text_key", "token").agg(F.min("start").alias("start"), F.max("probability").alias("probability"))
+    return strings.where(F.col("probability") >= IS_SECRET).select("doc_id", "text_key", "token", "start", "probability")
 
 
 def _masked(text: Column, secret: Column) -> Column:

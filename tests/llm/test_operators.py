@@ -301,3 +301,15 @@ def test_short_secrets_are_masked_as_words(spark):
     assert [r[0] for r in spark.sql("select 'a tim2, time tim2x \\\\Q tim2' as t").select(secret_scan._masked(F.col("t"), F.lit("tim2"))).collect()] == [
         "a [SECRET], time tim2x \\Q [SECRET]"
     ]
+
+
+def test_secrets_are_judged_at_every_place(spark):
+    key, inner = "7c" * 20, "b7db7aa4a5fcc78305"
+    rows = [(1, f"😀 commit {key} and later token = \"{key}\"", "s"), (2, f"x{inner}y9 is longer, then password={inner} end", "s")]
+    docs = table(spark, rows)
+    at = {(r.doc_id, r.start, r.before[-9:]) for r in secret_scan.candidates(docs).where(F.col("token").isin(key, inner)).collect()}
+    assert at == {(1, 9, "😀 commit "), (1, 69, 'token = "'), (2, 47, "password=")}
+    assert {(r.doc_id, r.token, r.start) for r in secret_scan.findings(docs).collect()} == {(1, key, 9), (2, inner, 47)}
+    assert next(r.text for r in secret_scan.redacted(docs).collect() if r.doc_id == 1) == '😀 commit [SECRET] and later token = "[SECRET]"'
+    many = table(spark, [(3, " ".join([f"sha {key},"] * 3000 + [f"password={key}"]), "s")])
+    assert [(r.token, r.start) for r in secret_scan.findings(many).collect()] == [(key, 4)]

@@ -1,9 +1,11 @@
 """Near-duplicate classes: ProbMinHash signatures, banding, exact verification, components.
 
-A text is a weighted set of five-word shingles, weight 1 + log2(count). Every shingle is a Poisson process of
-that rate: arrivals at times drawn from its hash, each at one of the signature's registers; a register keeps the
+A text is a set of five-word shingles. ``signatures`` takes weighted sets; all weights are one here, so that the bands
+look for the similarity that decides on links, however often a shingle stands in a text. Every shingle is a Poisson
+process whose rate is its weight: arrivals at times drawn from its hash, each at one of the signature's registers; a register keeps the
 shingle of the earliest arrival. A shingle is given up once its next arrival is later than all registers. Two
-signatures agree in a register with the probability Jaccard similarity of the weighted sets. Bands of registers
+signatures agree in a register with the probability Jaccard similarity of the weighted sets, which is the Jaccard
+similarity if all weights are one. Bands of registers
 that agree make candidates; a link is a pair whose shingle sets have an exact Jaccard similarity of 0.8 or more.
 
 Texts that are equal are one class before anything else, so copies are never paired. Within a bucket, texts are
@@ -79,8 +81,9 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def weighted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    found, counts = np.unique(shingles(text), return_counts=True)
-    return found, 1.0 + np.log2(counts)
+    """Distinct shingles and their weights, all one."""
+    found = np.unique(shingles(text))
+    return found, np.ones(len(found))
 
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.ndarray:

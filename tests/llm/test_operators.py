@@ -217,6 +217,17 @@ def test_near_duplicates_away_from_the_least_text(spark):
     assert {(r.doc_id, r.class_id) for r in probminhash.classes(docs).collect()} == set(wanted.items())
 
 
+def test_near_duplicates_with_repeated_passages(spark):
+    rows = []
+    for i in range(16):
+        words = [f"p{i}w{k}" for k in range(200)]
+        other = words[:190] + [f"q{i}w{k}" for k in range(10)]
+        rows += [(2 * i, " ".join(words), "s"), (2 * i + 1, " ".join(other + words[20:80] * 200), "s")]
+    wanted = brute_classes({i: t for i, t, _ in rows})
+    assert set(wanted.values()) == set(range(0, 32, 2))  # each pair is a class
+    assert {(r.doc_id, r.class_id) for r in probminhash.classes(table(spark, rows)).collect()} == set(wanted.items())
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(2)
     pool = rng.integers(0, 2**63, 300, dtype=np.uint64)

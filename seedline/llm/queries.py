@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, html_text, line_rules, maxscore, mixing, probminhash, quality, secret_scan, wavelet
+from . import byte_bpe, chat, exact_copies, html_text, line_rules, maxscore, mixing, probminhash, quality, secret_scan, wavelet
 from .registry import LLM_CHECKS, LLM_QUERIES, query, table
 
 __all__ = ["LLM_CHECKS", "LLM_QUERIES"]
@@ -62,3 +62,9 @@ def op1_tag_path_ratios(spark: SparkSession, folder: str) -> DataFrame:
 def op6_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.findings(table(spark, folder, "documents"))
     return found.select("doc_id", "start", F.length("token").cast("bigint").alias("length"), F.sha2("token", 256).alias("token_sha256"), "probability")
+
+
+@query(exact_copies.COPIES_SQL)
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact_copies.groups(table(spark, folder, "documents"), digests=True)
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, exact_copies, html_text, line_rules, maxscore, mixing, probminhash, quality, secret_scan, wavelet
+from . import byte_bpe, chat, exact_copies, hard_negatives, html_text, line_rules, maxscore, mixing, probminhash, quality, secret_scan, wavelet
 from .registry import LLM_CHECKS, LLM_QUERIES, query, table
 
 __all__ = ["LLM_CHECKS", "LLM_QUERIES"]
@@ -68,3 +68,9 @@ def op6_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
 def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_copies.groups(table(spark, folder, "documents"), digests=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
+
+
+@query(hard_negatives.NEGATIVES_SQL)
+def op11_residue_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = hard_negatives.relabelled(hard_negatives.prepared(table(spark, folder, "embeddings")))
+    return hard_negatives.mine(rows, F.col("vec_id") % hard_negatives.ANCHOR_EVERY == 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, exact_copies, hard_negatives, html_text, line_rules, maxscore, mixing, probminhash, quality, secret_scan, wavelet
+from . import byte_bpe, chat, exact_copies, hard_negatives, html_text, line_rules, maxscore, mixing, probminhash, quality, secret_scan, spelling, wavelet
 from .registry import LLM_CHECKS, LLM_QUERIES, query, table
 
 __all__ = ["LLM_CHECKS", "LLM_QUERIES"]
@@ -74,3 +74,8 @@ def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op11_residue_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = hard_negatives.relabelled(hard_negatives.prepared(table(spark, folder, "embeddings")))
     return hard_negatives.mine(rows, F.col("vec_id") % hard_negatives.ANCHOR_EVERY == 0)
+
+
+@query()
+def op13_trie_node_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.counted(table(spark, folder, "documents")))

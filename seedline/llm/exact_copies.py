@@ -4,8 +4,7 @@ Texts are equal when identical after deleting every character of ``[\\x20\\x09-\
 (length without white space, hash of its first ``HEAD`` characters). Texts whose length stands alone leave first,
 then those whose (length, beginning) stands alone; a second scan takes the full hash of what is left, and only equal
 full hashes make a group. Who is left is handed to the scan as a sieve: one bit per slot of a hash of the key, set
-where more than one text fell into the slot. A sieve has ``SLOTS`` bits (1 MB) at any size of the table, so it is
-broadcast; a slot that two different keys share costs a full hash and changes no result. No text is ever shuffled.
+where more than one text fell into the slot. A sieve has the same size (1 MB) for any table, so it is broadcast; a slot that two different keys share costs a full hash and changes no result. No text is ever shuffled.
 
 Of a group the row with the most code points in its original text stays, then the smallest id (null last), then
 the first of rows equal in both. Null, empty and blank texts are equal to each other. Rows are answered one by one, repeated rows
@@ -19,9 +18,9 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 from .columns import free_prefix, quoted
+from .sieve import shared, sieve
 
 HEAD = 64  # characters of the beginning
-SLOTS = 1 << 23
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -33,28 +32,6 @@ def normalised(text: Column) -> Column:
     return out
 
 
-def _slot(*key: Column) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(SLOTS)) + 1
-
-
-def sieve(rows: DataFrame, *key: str, least: int = 2) -> DataFrame:
-    """bucket, bits: the slots that at least so many rows fall into. At most ``SLOTS`` bits, in rows of 4 KB."""
-    slots = rows.groupBy(_slot(*map(F.col, key)).alias("slot")).agg(F.count("*").alias("rows")).where(F.col("rows") >= least)
-    return slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-
-
-def shared(rows: DataFrame, found: DataFrame, name: str, *key: str) -> DataFrame:
-    """Add ``name``: whether the row's key may stand in another row too (never wrongly false)."""
-    slot = _slot(*map(F.col, key))
-    at = F.bitmap_bit_position(slot)
-    looked = rows.withColumn(f"{name}_bucket", F.bitmap_bucket_number(slot)).withColumn(f"{name}_at", at)
-    bits = found.select(F.col("bucket").alias(f"{name}_bucket"), F.col("bits").alias(f"{name}_bits"))
-    met = looked.join(F.broadcast(bits), f"{name}_bucket", "left")  # at most SLOTS bits
-    byte = F.conv(F.hex(F.substr(F.col(f"{name}_bits"), (F.col(f"{name}_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.bit_get(byte, (F.col(f"{name}_at") % 8).cast("int")) == 1
-    return met.withColumn(name, F.coalesce(is_set, F.lit(False))).drop(f"{name}_bucket", f"{name}_at", f"{name}_bits")
-
-
 def _chars(text: str) -> Column:
     return F.coalesce(F.length(F.col(text)), F.lit(0)).cast("bigint")
 

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from seedline.llm import exact_copies
+from seedline.llm import exact_copies, sieve
 
 WHITE = re.compile(r"[\x20\x09-\x0D]")
 
@@ -51,7 +51,7 @@ def test_refinement_reads_what_is_left(spark):
 
 @pytest.mark.parametrize("slots", [1, 7])
 def test_a_full_sieve_changes_nothing(spark, monkeypatch, slots):
-    monkeypatch.setattr(exact_copies, "SLOTS", slots)
+    monkeypatch.setattr(sieve, "SLOTS", slots)
     rows = [(i, f"t {i % 5}" * (i % 3)) for i in range(60)]
     assert ordered(found(spark.createDataFrame(rows, "doc_id bigint, text string"))) == ordered(plain(rows))
 

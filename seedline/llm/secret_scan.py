@@ -12,8 +12,7 @@ same columns can be used in its place.
 Null and empty texts have no candidates. Every place of a string is judged by its own
 neighbours; the string is one finding of the text, at its first place, with the largest probability;
 rows equal in text and id give their findings once. Null ids are kept in findings and null texts in redaction.
-Only DataFrame and JVM operations are used. Extra columns stay in ``redacted``; names beginning with ``_s`` are
-this module's.
+Only DataFrame and JVM operations are used. Extra columns stay in ``redacted``, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
+from .columns import free_prefix, quoted
+from .sieve import shared, sieve
 
 LEAST = 12  # characters of a candidate
 AROUND = 40  # characters on each side that are looked at
@@ -60,6 +61,8 @@ NAMED = rf"((?<![A-Za-z])(?:(?i:{NAMING})[\"']?(?:\s*+[=:]++>?+\s*+|\s++(?=[\"']
 VALUE = rf"{NAMED}(?=((?<=\").+?(?<!\\)(?=\")|(?<=').+?(?<!\\)(?=')|[^\s\"'`]*[^\s\"'`.,;:)\]}}>]){LATER})"
 FIRST_VALUE = rf"{NAMED}(?=([^\s\"'`&,;]+(?=[&,;])){LATER})"
 PATTERNS = [RUN, AT_SIGN, ISSUED, VALUE, FIRST_VALUE]
+NAMED_PATTERNS = [VALUE, FIRST_VALUE]
+PLACES = "array<struct<pattern:int,place:int,gap:string,gap_length:bigint,match:string,lead:string,token:string,after:string>>"
 LEADING = r"[\s\"':=>_+/@.-]*$"  # between a word and a candidate
 
 FEATURES = [
@@ -165,22 +168,43 @@ def train(findings: DataFrame) -> RandomForestClassificationModel:
     return forest.fit(table)
 
 
+def _may_hold_runs(text: Column) -> Column:
+    """Every run that is a candidate has a digit or an issuer's prefix."""
+    return text.rlike("[0-9]") | text.rlike(ISSUERS)
+
+
+def _may_name(text: Column) -> Column:
+    """Every named value stands after a naming word and a sign, or after the last of these words alone."""
+    signs = text.contains("=") | text.contains(":") | text.contains('"') | text.contains("'") | text.rlike(r"(?i)bearer\s")
+    return signs & text.rlike(f"(?i){NAMING}")
+
+
 def candidates(docs: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
     """doc_id, text_key, path, token, start (characters before it), before, after; a row per place and pattern."""
     whole = F.coalesce(F.col(text), F.lit(""))
     held = docs.select("doc_id", F.md5(F.col(text)).alias("text_key"), F.col(path).alias("path"), whole.alias("_sw"), F.monotonically_increasing_id().alias("_sr"))
 
     def places(number: int, pattern: str) -> Column:
+        """Of each match, and of what stands behind the last one: what is before it, its parts, what is after its candidate."""
+        match = F.regexp_extract_all("_sw", F.lit(pattern), F.lit(0))
+        if pattern in NAMED_PATTERNS:
+            groups = [match, *[F.regexp_extract_all("_sw", F.lit(pattern), F.lit(g)) for g in (2, 3)]]
+        else:  # the match is the leading signs and the candidate, so that only what comes after it has to be looked up
+            groups = [match, F.transform(match, lambda m: F.regexp_extract(m, "^[_+/@.-]*", 0)), F.regexp_extract_all("_sw", F.lit(pattern), F.lit(3))]
         # the text split by the pattern has a piece more than there are matches
-        groups = [F.regexp_extract_all("_sw", F.lit(pattern), F.lit(g)) for g in range(4)]
-        zipped = F.arrays_zip(F.split("_sw", pattern, -1), *groups).cast("array<struct<gap:string,match:string,lead:string,token:string,after:string>>")
+        names = ("match", "token", "after") if pattern in NAMED_PATTERNS else ("match", "lead", "after")
+        zipped = F.arrays_zip(F.split("_sw", pattern, -1), *groups).cast(f"array<struct<gap:string,{','.join(f'{n}:string' for n in names)}>>")
+        lead, token = (lambda x: x["match"], lambda x: x["token"]) if pattern in NAMED_PATTERNS else (lambda x: x["lead"], lambda x: F.substr(x["match"], F.length(x["lead"]) + 1))
         return F.transform(zipped, lambda x, i: F.struct(
             F.lit(number).alias("pattern"), i.alias("place"), F.right(x["gap"], F.lit(AROUND)).alias("gap"), F.length(x["gap"]).cast("bigint").alias("gap_length"),
-            x["match"].alias("match"), x["lead"].alias("lead"), x["token"].alias("token"), x["after"].alias("after"),
-        ))
-
-    every = F.concat(*[places(n, p) for n, p in enumerate(PATTERNS)])
-    rows = held.select("doc_id", "text_key", "path", "_sr", F.explode(every).alias("f")).select("doc_id", "text_key", "path", "_sr", "f.*").where("token IS NOT NULL")
+            x["match"].alias("match"), lead(x).alias("lead"), token(x).alias("token"), x["after"].alias("after"),
+        )).cast(PLACES)
+
+    # a text without what a pattern needs is not searched for it
+    held = held.withColumns({"_s0": _may_hold_runs(F.col("_sw")), "_s2": F.col("_sw").rlike(rf"[_+/@.-](?:{ISSUERS})"), "_s3": _may_name(F.col("_sw"))})
+    needs = [F.col("_s0"), F.col("_s0") & F.col("_sw").contains("@"), F.col("_s2"), F.col("_s3"), F.col("_s3")]
+    every = F.concat(*[F.coalesce(F.when(need, places(n, p)), F.array().cast(PLACES)) for n, (need, p) in enumerate(zip(needs, PATTERNS))])
+    rows = held.where("_s0 OR _s2 OR _s3").select("doc_id", "text_key", "path", "_sr", F.explode(every).alias("f")).select("doc_id", "text_key", "path", "_sr", "f.*").where("token IS NOT NULL")
     earlier = Window.partitionBy("_sr", "pattern").orderBy("place")
     passed = F.coalesce(F.sum(F.col("gap_length") + F.length("match")).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # every place before adds a character at least
@@ -208,13 +232,18 @@ def _masked(text: Column, secret: Column) -> Column:
 
 
 def redacted(docs: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
-    """``docs`` with every occurrence of a found secret masked, and ``n_chars``, if there, brought up to date."""
-    secrets = findings(docs, text, path).groupBy(F.col("text_key").alias("_sk")).agg(F.collect_set(F.struct(F.length("token").alias("n"), "token")).alias("_st"))
-    secrets = secrets.withColumn("_st", F.sort_array("_st", asc=False)["token"])  # a string before those inside it
+    """``docs`` with every occurrence of a found secret masked, and ``n_chars``, if there, brought up to date.
+
+    Texts outside the sieve of those with secrets pass as they are; only the others are joined with their secrets."""
+    p = free_prefix(docs)
+    secrets = findings(docs, text, path).groupBy(F.col("text_key").alias(f"{p}key")).agg(F.collect_set(F.struct(F.length("token").alias("n"), "token")).alias("found"))
+    secrets = secrets.select(f"{p}key", F.sort_array("found", asc=False)["token"].alias(f"{p}found"))  # a string before those inside it
     secrets = durable(secrets, "secrets-by-text")
-    joined = docs.withColumn("_sk", F.md5(F.col(text))).join(secrets, "_sk", "left")
-    masked = F.aggregate(F.coalesce("_st", F.array().cast("array<string>")), F.col(text), _masked)
-    out = joined.withColumn(text, F.when(F.col("_st").isNull(), F.col(text)).otherwise(masked))
+    keyed = docs.withColumn(f"{p}key", F.coalesce(F.md5(F.col(text)), F.lit("")))
+    marked = shared(keyed, durable(sieve(secrets, f"{p}key", least=1), "secrets-sieve"), f"{p}hit", f"{p}key")
+    joined = marked.where(f"{p}hit").join(secrets, f"{p}key", "left")
+    masked = F.aggregate(F.coalesce(f"{p}found", F.array().cast("array<string>")), F.col(text), _masked)
+    out = joined.withColumn(text, F.when(F.col(f"{p}found").isNull(), F.col(text)).otherwise(masked))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_st").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("bigint")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.withColumn("n_chars", F.when(F.col(f"{p}found").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("bigint")))
+    return marked.where(~F.col(f"{p}hit")).select(*quoted(docs)).unionByName(out.select(*quoted(docs)))

@@ -8,7 +8,7 @@ log-densities and log-shares, each density from the Mahalanobis distance by the
 Null and empty texts have the statistics of an empty text and are scored like any other. Rows are scored one by
 one: repeated rows and null ids come back as they are. Labels are matched to texts by id; of several labels of
 an id the largest counts. With no labelled rows of a class, or none at all, every score is the share of label 1
-(1 without labels). Extra columns stay in ``accepted``; names beginning with ``_q`` are this module's.
+(1 without labels). Extra columns stay in ``accepted``, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
+from .columns import free_prefix, quoted
 from .mixing import WORD_GAPS, word_count
 
 THRESHOLD = 0.7
@@ -118,22 +119,31 @@ def known_labels(labels: DataFrame, label: str = "quality") -> DataFrame:
     return known.agg(F.max(label).cast("int").alias("_ql"))
 
 
+def measured(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, _q: the statistics of every row, written down."""
+    return durable(docs.select("doc_id", F.array(*statistics(F.col(text))).alias("_q")), "quality-statistics")
+
+
+def learned(rows: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
+    """The model of the labelled rows among ``rows``, which come from ``measured``."""
+    known = known_labels(labels, label)
+    return fit(rows.join(known, rows["doc_id"] == known["_qd"]).select("_q", "_ql"))
+
+
 def scored(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality") -> DataFrame:
     """doc_id, held_out, score, predicted; one row per input row. Texts are measured once."""
-    measured = docs.select("doc_id", F.array(*statistics(F.col(text))).alias("_q"))
-    measured = durable(measured, "quality-statistics")
-    known = known_labels(labels, label)
-    model = fit(measured.join(known, measured["doc_id"] == known["_qd"]).select("_q", "_ql"))
-    out = measured.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("_q")).alias("score"))
+    rows = measured(docs, text)
+    model = learned(rows, labels, label)
+    out = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("_q")).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality") -> DataFrame:
-    """The rows of ``docs`` whose texts are predicted to be good; what is learned comes from labelled rows of ``docs``."""
-    known = known_labels(labels, label)
-    labelled = docs.select("doc_id", text).join(known, docs["doc_id"] == known["_qd"])
-    model = fit(labelled.select(F.array(*statistics(F.col(text))).alias("_q"), "_ql"))
-    # adding nothing by chance keeps the optimiser from putting the statistics into each of their many uses in the score
-    first, *rest = statistics(F.col(text))
-    kept = docs.withColumn("_q", F.array(first + F.rand(0) * 0.0, *rest)).where(model.score(F.col("_q")) >= THRESHOLD)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` whose texts are predicted to be good; what is learned comes from labelled rows of ``docs``.
+
+    Texts are measured twice, for the fit and for the verdict, and never shuffled or written."""
+    model = learned(measured(docs, text), labels, label)
+    p = free_prefix(docs)
+    # a generator of one row: the statistics are worked out once below it and not again in each of their uses
+    once = docs.withColumn(f"{p}all", F.array(*statistics(F.col(text)))).withColumn(f"{p}q", F.explode(F.array(f"{p}all")))
+    return once.where(model.score(F.col(f"{p}q")) >= THRESHOLD).select(*quoted(docs))

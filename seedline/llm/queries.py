@@ -24,7 +24,7 @@ def op10_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
 @query(mixing.MIX_SQL)
 def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     takes = mixing.mix(table(spark, folder, "documents")).takes
-    return takes.select("doc_id", "size", "source_size", "target", "taken")
+    return takes.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 @query(line_rules.RULES_SQL)

@@ -9,7 +9,8 @@ Columns: part, shard (place in the part), n_tokens, bits, zeros (per plane), pla
 after the other), doc_ids, doc_tokens.
 
 Null and empty texts are documents with the end id alone. Documents of equal id (repeated rows) are all
-written, next to each other, in the order of their texts; a null id comes first. An empty table gives no shard.
+written, next to each other, in the order of their texts; a null id comes first. Strings of special tokens in a text get the ids
+that the library gives them. An empty table gives no shard.
 Extra input columns are not stored.
 """
 
@@ -17,13 +18,16 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import os
 import string
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +41,29 @@ BLOCK = 512  # bits between stored counts of ones
 WORDS_KEPT = 1_000_000  # entries of a worker's table before it is cut back
 WORDS_LEFT = 200_000  # entries left then: those met first, which are the frequent ones
 MARK = "\x01"  # stands between words encoded in one call
+BYTES_AT_ONCE = 8 << 20  # of texts encoded together
+
+# How byte-level vocabularies show bytes: printable ones of Latin-1 as they are, the others as the characters from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SHOWN = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+
+# How the default vocabulary's file normalises and cuts texts.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 SHARD_SCHEMA = (
     "part int, shard bigint, n_tokens bigint, bits int, zeros array<bigint>, planes binary, ranks binary, "
@@ -147,11 +174,19 @@ class Shard:
 # --- encoding ------------------------------------------------------------------------
 
 
+def _splits_at_blanks(path: str) -> bool:
+    """Whether the file's tokens never reach over a blank or line end, and letters never share one with what stands behind them."""
+    with open(path, encoding="utf-8") as file:
+        config = json.load(file)
+    return config.get("normalizer") == NORMALIZER and config.get("pre_tokenizer") == PRE_TOKENIZER
+
+
 class Encoder:
     """The library's tokenizer with a table of words it has seen; one per worker and file.
 
-    The vocabulary's pattern drops white space and never matches across it, so a text's ids are the ids of
-    its words, split at blanks and line ends. New words are encoded in one call with a mark between them.
+    The default vocabulary's pattern drops white space and never matches across it, so a text's ids are the ids of
+    its words, split at blanks and line ends. New words are encoded in one call with a mark between them. With any other
+    file whole texts are encoded, one by one.
     """
 
     def __init__(self, path: str) -> None:
@@ -159,46 +194,67 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.by_words = _splits_at_blanks(path)
         self.bits = max(1, (self.library.get_vocab_size() - 1).bit_length())
         self.kind = np.dtype("<u2" if self.bits <= 16 else "<u4")
         self.mark = self._ids(MARK)
         self.known: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
+        return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, words: list[str]) -> None:
         """Letters and the punctuation behind them never share an id, and letters lose their case: so such
         words are put together from their two parts, and only parts not seen before are encoded."""
         parts = [_parts(word) for word in words]
-        self._encode_new(sorted({x for pair in parts for x in pair}.difference(self.known)))
+        known = self.known
+        self._encode_new(list({x for pair in parts for x in pair}.difference(known)))
         for word, pair in zip(words, parts):
-            self.known[word] = b"".join(map(self.known.__getitem__, pair))
+            known[word] = known[pair[0]] if len(pair) == 1 else known[pair[0]] + known[pair[1]]
 
     def _encode_new(self, words: list[str]) -> None:
+        tokenize, kind = self.library.model.tokenize, self.kind
+        for word in words:
+            if word.isalpha() and word == word.lower() and (word.isascii() or unicodedata.is_normalized("NFC", word)):
+                # normalised and one match of the pattern: only the model is left to apply, on bytes shown as characters
+                shown = word if word.isascii() else word.encode().decode("latin-1").translate(SHOWN)
+                self.known[word] = np.array([token.id for token in tokenize(shown)], dtype=kind).tobytes()
+        words = [w for w in words if w not in self.known]
         together = [w for w in words if MARK not in w] if len(self.mark) == 1 else []
         for at in range(0, len(together), 2000):
             part = together[at : at + 2000]
             ids = np.array(self._ids(f" {MARK} ".join(part)), dtype=self.kind)
-            cuts = np.flatnonzero(ids == self.mark[0]).tolist()
+            cuts = np.flatnonzero(ids == self.mark[0])
             if len(cuts) != len(part) - 1:  # the mark's id came up inside a word
-                part = []
-            for word, start, stop in zip(part, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]):
-                self.known[word] = ids[start:stop].tobytes()
+                continue
+            raw, width = ids.tobytes(), self.kind.itemsize
+            starts, stops = [0, *((cuts + 1) * width).tolist()], [*(cuts * width).tolist(), len(raw)]
+            self.known.update((word, raw[start:stop]) for word, start, stop in zip(part, starts, stops))
         for word in words:
             if word not in self.known:
                 self.known[word] = np.array(self._ids(word), dtype=self.kind).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [text.replace("\n", " ").split(" ") if text else [] for text in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > WORDS_KEPT:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each text has."""
+        if not self.by_words:
+            each = [np.array(self._ids(text or ""), dtype=self.kind) for text in texts.to_pylist()]
+            return np.concatenate([np.empty(0, self.kind), *each]), np.array([len(x) for x in each], dtype=np.int64)
+        words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        ends = words.offsets.to_numpy() - words.offsets[0].as_py()
+        named = words.flatten().dictionary_encode()
+        distinct, places = named.dictionary.to_pylist(), named.indices.to_numpy()
+        if len(self.known) + len(distinct) > WORDS_KEPT:
             self.known = dict(itertools.islice(self.known.items(), WORDS_LEFT))
-            new = set().union(*split).difference(self.known)
-        if new:
-            self._learn(sorted(new))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=self.kind) for words in split]
+        if new := [word for word in distinct if word not in self.known]:
+            self._learn(new)
+        found = [self.known[word] for word in distinct]
+        ids = np.frombuffer(b"".join(found), dtype=self.kind)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.kind.itemsize
+        # every word's ids are copied to its places: from where they stand in ``ids`` to where they stand in the texts
+        size = sizes[places]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        source = np.repeat((np.cumsum(sizes) - sizes)[places] - upto[:-1], size) + np.arange(upto[-1])
+        return ids[source], np.diff(upto[ends])
 
 
 def _parts(word: str) -> tuple[str, ...]:
@@ -210,6 +266,19 @@ def _parts(word: str) -> tuple[str, ...]:
     return (lower,) if len(letters) == len(word) else (lower, word[len(letters) :])
 
 
+def portions(texts: pa.Array, most: int = BYTES_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Runs of rows (start, length) of about so many bytes, a row at least."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for at, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield start, at - start
+            start, held = at, 0
+        held += size + 1
+    if start < len(sizes):
+        yield start, len(sizes) - start
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -223,13 +292,11 @@ def write(
 ) -> None:
     """Encode and write all documents, ordered by id. One range shuffle of the texts; each task streams its rows."""
     ship(docs.sparkSession)
-    vocabulary = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, part, shard = encoder(vocabulary), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype=coder.kind)
+        coder, part, shard = encoder(vocabulary or public_tokenizers.path(VOCABULARY)), TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         doc_ids: list[int | None] = []
         doc_tokens: list[int] = []
@@ -250,14 +317,24 @@ def write(
 
         size = 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                rows = batch.slice(start, 64)
-                for doc, ids in zip(rows.column(0).to_pylist(), coder.encode(rows.column(1).to_pylist())):
-                    held += [ids, end]
-                    doc_ids.append(doc)
-                    doc_tokens.append(len(ids) + 1)
-                    size += len(ids) + 1
-                    if size >= shard_tokens:
+            for start, length in portions(batch.column(1)):
+                ids, counts = coder.encode(batch.column(1).slice(start, length))
+                ids = np.insert(ids, np.cumsum(counts), end_id)
+                counts = counts + 1
+                at = first = 0  # ids and documents of the portion that are in a shard already
+                upto = np.cumsum(counts)
+                docs_here = batch.column(0).slice(start, length).to_pylist()
+                while first < len(counts):
+                    # up to the document that fills the shard
+                    last = int(np.searchsorted(upto, at + shard_tokens - size))
+                    full = last < len(counts)
+                    last = min(last, len(counts) - 1)
+                    held.append(ids[at : upto[last]])
+                    doc_ids += docs_here[first : last + 1]
+                    doc_tokens += counts[first : last + 1].tolist()
+                    size += int(upto[last]) - at
+                    at, first = int(upto[last]), last + 1
+                    if full:
                         yield close()
                         size = 0
         if held:

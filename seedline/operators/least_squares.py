@@ -5,10 +5,10 @@ Two models, both with the minimum-norm answer where the data leave a choice:
 * race effects: ``y = race + athlete`` with the athletes of a group summing to zero;
 * winner differences: ``y = c + athlete - winner`` with the mean athlete tied to ``-c``.
 
-A group that fits ``seedline.rowsPerTask`` is solved in one task (all such groups in parallel,
-one shuffle). A larger group is solved by conjugate gradients whose vectors are DataFrames:
-every product is a join of the vector with the observed cells and a grouped sum, so no task ever
-holds a group. No design matrix is formed on either route.
+Both are graphs whose rows are differences of two nodes, and both are solved by ``laplacian``: the same elimination,
+stopping test and bound on rounds whether a group fits ``seedline.rowsPerTask`` and is solved in one task (all such
+groups in parallel, one shuffle) or is larger and solved over DataFrames, where no task ever holds a group. No design matrix
+is formed on either route.
 """
 
 from __future__ import annotations
@@ -17,15 +17,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import durable, rows_per_task, ship
+from .laplacian import solve, solve_in_task
 
-TOLERANCE = 1e-12  # on the relative residual of the normal equations
-GIVE_UP = 1e-8  # a worse residual after the last round is an error
-MAX_ROUNDS = 1000
+LEVELLED = 1e-16  # share of ones that may be left over where all differences are steps between levels
 BROADCAST_GROUPS = 100_000
 
 
@@ -59,59 +58,49 @@ def fit_by_size(
 # --- in one task -------------------------------------------------------------------
 
 
-def minimum_norm(product: Callable[[np.ndarray], np.ndarray], rhs: np.ndarray) -> np.ndarray:
-    """Conjugate gradients from zero: the minimum-norm answer of a consistent system."""
-    x, r = np.zeros_like(rhs), rhs.copy()
-    p, rr = r.copy(), rhs @ rhs
-    first = rr
-    if not np.isfinite(first):
-        raise RuntimeError("a list has times that are not finite")
-    for _ in range(10 * MAX_ROUNDS):
-        if rr <= first * TOLERANCE**2:
-            break
-        q = product(p)
-        step = rr / (p @ q)
-        x, r = x + step * p, r - step * q
-        rr, old = r @ r, rr
-        p = r + (rr / old) * p
-    if rr > first * GIVE_UP**2:
-        raise RuntimeError(f"a list did not converge, relative residual {(rr / first) ** 0.5:.1e}")
-    return x
-
-
-def solve_race_effects(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    race, races = pd.factorize(pdf["race_id"])
-    athlete, athletes = pd.factorize(pdf["athlete_id"])
-    n_r, n_a = len(races), len(athletes)
-
-    def both_sides(v: np.ndarray, constraint: float) -> np.ndarray:
-        by_race = np.bincount(race, v, n_r)
-        return np.concatenate([by_race, np.bincount(athlete, v, n_a) + constraint])
+def centred(x: np.ndarray, is_athlete: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Effects shifted per part so that all athletes sum to zero with the smallest norm (see ``centre_components``)."""
+    part = np.unique(label, return_inverse=True)[1]
+    sign = np.where(is_athlete, 1.0, -1.0)
+    size, n_a = np.bincount(part), np.bincount(part, is_athlete)
+    gap, s_a = np.bincount(part, sign * x), np.bincount(part, np.where(is_athlete, x, 0.0))
+    pull = (s_a.sum() - (n_a * gap / size).sum()) / (n_a * n_a / size).sum()
+    return x - sign * ((gap + pull * n_a) / size)[part]
 
-    def product(v: np.ndarray) -> np.ndarray:
-        return both_sides(v[:n_r][race] + v[n_r:][athlete], v[n_r:].sum())
 
-    effects = minimum_norm(product, both_sides(pdf["y"].to_numpy(), 0.0))
+def solve_race_effects(pdf: pd.DataFrame, name: str = "a list") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    race, races = pd.factorize(pdf["race_id"])
+    athlete, athletes = pd.factorize(pdf["athlete_id"])
+    n_r, n_a, y = len(races), len(athletes), pdf["y"].to_numpy()
+    # a race's node is its effect with the sign turned: then every row is a difference of two nodes
+    rhs = np.concatenate([-np.bincount(race, y, n_r), np.bincount(athlete, y, n_a)])
+    x, label = solve_in_task(race, n_r + athlete, np.ones(len(y)), n_r + n_a, rhs[:, None], name)
+    is_athlete = np.arange(n_r + n_a) >= n_r
+    effects = centred(np.where(is_athlete, x[:, 0], -x[:, 0]), is_athlete, label)
     return races, effects[:n_r], athletes, effects[n_r:]
 
 
-def solve_winner_differences(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def solve_winner_differences(pdf: pd.DataFrame, name: str = "a list") -> tuple[np.ndarray, np.ndarray]:
     m = len(pdf)
     codes, athletes = pd.factorize(pd.concat([pdf["athlete_id"], pdf["reference_athlete_id"]]))
     slow, fast, n = codes[:m], codes[m:], len(athletes)
     y = pdf["y"].to_numpy()
-    n_rows = m + 1  # the observations and the row that ties the mean
+    rhs = np.stack([np.bincount(slow, v, n) - np.bincount(fast, v, n) for v in (y, np.ones(m))], axis=1)
+    x, label = solve_in_task(slow, fast, np.ones(m), n, rhs, name)
+    part = np.unique(label, return_inverse=True)[1]
+    for k in (0, 1):
+        x[:, k] -= (np.bincount(part, x[:, k]) / np.bincount(part))[part]
+    by_time, by_one = x.T
+    left = 1.0 - (by_one[slow] - by_one[fast])
+    if left @ left > LEVELLED * m:
+        c = (left @ y) / left.sum()
+    else:
+        c = (by_one @ by_time) / (by_one @ by_one + n)
+    return athletes, by_time - c * (by_one + 1.0)
 
-    def signed(v: np.ndarray) -> np.ndarray:
-        return np.bincount(slow, v, n) - np.bincount(fast, v, n)
 
-    centre = (signed(np.ones(m)) + 1.0 / n) / n_rows
-
-    def product(v: np.ndarray) -> np.ndarray:
-        return signed(v[slow] - v[fast]) + v.sum() / n**2 - n_rows * centre * (centre @ v)
-
-    rhs = signed(y) - centre * y.sum()
-    return athletes, minimum_norm(product, rhs)
+def _list_name(key: tuple) -> str:
+    return "list " + ", ".join(map(str, key))
 
 
 def _key_fields(df: DataFrame, keys: list[str]) -> list[T.StructField]:
@@ -129,7 +118,7 @@ def race_effects_in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
     def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        races, race_effect, athletes, athlete_effect = solve_race_effects(pdf)
+        races, race_effect, athletes, athlete_effect = solve_race_effects(pdf, _list_name(key))
         out = pd.DataFrame(
             {
                 "kind": ["race"] * len(races) + ["athlete"] * len(athletes),
@@ -150,7 +139,7 @@ def winner_differences_in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
     def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        athletes, effect = solve_winner_differences(pdf)
+        athletes, effect = solve_winner_differences(pdf, _list_name(key))
         out = pd.DataFrame({"athlete_id": athletes, "effect": effect})
         return out.assign(**dict(zip(keys, key)))[schema.names]
 
@@ -162,168 +151,32 @@ def winner_differences_in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
 # --- distributed ---------------------------------------------------------------------
 
 
-def conjugate_gradients(
-    nodes: DataFrame,
-    keys: list[str],
-    neighbour_sums: Callable[[DataFrame], DataFrame],
-    few: bool,
-) -> DataFrame:
-    """Solve ``degree*v - neighbour_sums(v) + c0*sum(v) + c1*u*(u.v) = rhs`` in every group.
-
-    ``nodes``: keys, node, degree, scale (diagonal preconditioner), rhs, u, c0, c1.
-    Per round there is one job: it writes the vectors and observes the worst residual. Group
-    scalars come from one grouped sum of that table; a group that has converged stands still.
-    Returns keys, node, x.
-    """
-    constants = ["degree", "scale", "u", "c0", "c1"]
-    m = F.col("scale")
-    start = nodes.select(*keys, "node", *constants, F.col("rhs").alias("r"), F.lit(0.0).alias("x"))
-    start = durable(start.withColumn("p", F.col("r") / m), "cg-start")
-    opening = start.groupBy(*keys).agg(
-        F.sum(F.col("r") * F.col("p")).alias("rz"),
-        F.sum("p").alias("sp"),
-        F.sum(F.col("u") * F.col("p")).alias("up"),
-    )
-    state = _by_group(start, opening.withColumn("rz0", F.col("rz")), keys, few)
-
-    carried = ["rz", "rz0", "sp", "up"]
-    residual = F.when(F.col("rz0") > 0, F.col("rz") / F.col("rz0")).otherwise(0.0)
-    for _ in range(MAX_ROUNDS):
-        sums = neighbour_sums(state.select(*keys, "node", F.col("p").alias("v")))
-        q = (
-            F.col("degree") * F.col("p")
-            - F.coalesce("s", F.lit(0.0))
-            + F.col("c0") * F.col("sp")
-            + F.col("c1") * F.col("u") * F.col("up")
-        )
-        work = state.join(sums, [*keys, "node"], "left").withColumn("q", q)
-        seen = Observation()
-        columns = [*keys, "node", *constants, "x", "r", "p", "q", *carried]
-        work = durable(work.select(*columns), "cg-round", seen, F.max(residual).alias("worst"))
-        worst = seen.get["worst"] or 0.0
-        if not np.isfinite(worst):
-            raise RuntimeError("a list has times that are not finite")
-        if worst <= TOLERANCE**2:
-            break
-        state = _by_group(work.drop(*carried), _step_sizes(work, keys), keys, few)
-        state = state.withColumns(
-            {
-                "x": F.col("x") + F.col("alpha") * F.col("p"),
-                "r": F.col("r") - F.col("alpha") * F.col("q"),
-                "p": (F.col("r") - F.col("alpha") * F.col("q")) / m + F.col("beta") * F.col("p"),
-            }
-        )
-    if worst > GIVE_UP**2:
-        raise RuntimeError(f"a list did not converge, relative residual {worst**0.5:.1e}")
-    return work.select(*keys, "node", "x")
-
-
 def _by_group(rows: DataFrame, groups: DataFrame, keys: list[str], few: bool) -> DataFrame:
     """Put one row per oversized group onto the rows; the number of groups was counted."""
     return rows.join(F.broadcast(groups) if few else groups, keys)
 
 
-def _step_sizes(work: DataFrame, keys: list[str]) -> DataFrame:
-    m, r, p, q, u = (F.col(c) for c in ("scale", "r", "p", "q", "u"))
-    sums = work.groupBy(*keys).agg(
-        F.sum(p * q).alias("pq"),
-        F.sum(r * r / m).alias("rr"),
-        F.sum(r * q / m).alias("rq"),
-        F.sum(q * q / m).alias("qq"),
-        F.sum(r / m).alias("sr"),
-        F.sum(q / m).alias("sq"),
-        F.sum(u * r / m).alias("ur"),
-        F.sum(u * q / m).alias("uq"),
-        *[F.first(c).alias(c) for c in ("rz0", "sp", "up")],
-    )
-    moving = (F.col("rr") > F.col("rz0") * TOLERANCE**2) & (F.col("pq") > 0)
-    alpha = F.when(moving, F.col("rr") / F.col("pq")).otherwise(0.0)
-    sums = sums.withColumn("alpha", alpha)
-    after = F.col("rr") - 2 * F.col("alpha") * F.col("rq") + F.col("alpha") ** 2 * F.col("qq")
-    sums = sums.withColumn("rz", F.greatest(after, F.lit(0.0)))
-    sums = sums.withColumn("beta", F.when(moving, F.col("rz") / F.col("rr")).otherwise(0.0))
-    return sums.select(
-        *keys,
-        "alpha",
-        "beta",
-        "rz",
-        "rz0",
-        (F.col("sr") - F.col("alpha") * F.col("sq") + F.col("beta") * F.col("sp")).alias("sp"),
-        (F.col("ur") - F.col("alpha") * F.col("uq") + F.col("beta") * F.col("up")).alias("up"),
-    )
-
-
 def race_effects_distributed(rows: DataFrame, keys: list[str], few: bool) -> DataFrame:
-    """Athlete effects by preconditioned conjugate gradients with the races eliminated.
-
-    Sums per race are written down before they meet the cells again: a race that holds a third of
-    the cells is then split by adaptive execution, or needs no shuffle at all when the sums are small.
-    """
-    cells = rows.groupBy(*keys, "race_id", "athlete_id").agg(
-        F.count(F.lit(1)).cast("double").alias("w"), F.sum("y").alias("y")
-    )
+    """The bipartite graph of races and athletes, a race's node being its effect with the sign turned."""
+    athlete, race = F.concat(F.lit("a"), "athlete_id"), F.concat(F.lit("r"), "race_id")
+    cells = rows.groupBy(*keys, athlete.alias("node"), race.alias("other")).agg(F.count(F.lit(1)).cast("double").alias("w"), F.sum("y").alias("y"))
     cells = durable(cells, "cells")
+    ends = [cells.groupBy(*keys, F.col(end).alias("node")).agg((sign * F.sum("y")).alias("x")) for end, sign in (("node", F.lit(1.0)), ("other", F.lit(-1.0)))]
+    solved = solve(cells.drop("y"), ends[0].unionByName(ends[1]), keys, ["x"])
+    is_athlete = F.left("node", F.lit(1)) == "a"
+    effects = solved.select(
+        *keys, "label", F.when(is_athlete, "athlete").otherwise("race").alias("kind"), F.substr(F.col("node"), F.lit(2)).alias("node"),
+        F.when(is_athlete, F.col("x")).otherwise(-F.col("x")).alias("x"),
+    )
+    return centre_components(effects, keys)
 
-    def per_race(value: Column, name: str, source: DataFrame = cells) -> DataFrame:
-        """Mean over the rows of each race; ``value`` is already summed over the cell's rows."""
-        return source.groupBy(*keys, "race_id").agg((F.sum(value) / F.sum("w")).alias(name))
-
-    def per_athlete(source: DataFrame, **sums: Column) -> DataFrame:
-        rows = source.groupBy(*keys, "athlete_id").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-        return rows.withColumnRenamed("athlete_id", "node")
-
-    means = durable(per_race(F.col("y"), "mean_y"), "race-means")
-    centred = cells.join(means, [*keys, "race_id"])
-    nodes = per_athlete(centred, degree=F.col("w"), rhs=F.col("y") - F.col("w") * F.col("mean_y"))
-    zero = F.lit(0.0)
-    nodes = nodes.withColumns({"scale": F.col("degree"), "u": zero, "c0": zero, "c1": zero})
-
-    def on_athletes(vector: DataFrame) -> DataFrame:
-        return cells.join(vector.withColumnRenamed("node", "athlete_id"), [*keys, "athlete_id"])
-
-    def neighbour_sums(vector: DataFrame) -> DataFrame:
-        raced = durable(per_race(F.col("w") * F.col("v"), "t", on_athletes(vector)), "race-sums")
-        return per_athlete(cells.join(raced, [*keys, "race_id"]), s=F.col("w") * F.col("t"))
-
-    athletes = conjugate_gradients(nodes, keys, neighbour_sums, few)
-    left_over = on_athletes(athletes).withColumn("rest", F.col("y") - F.col("w") * F.col("x"))
-    races = per_race(F.col("rest"), "x", left_over).withColumnRenamed("race_id", "node")
-    return centre_components(athletes, races, components(cells, keys), keys)
-
-
-def components(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Smallest athlete id connected to each athlete and race: keys, kind, node, label."""
-    links = cells.select(*keys, "race_id", "athlete_id")
-    labels = links.select(*keys, "athlete_id").distinct().withColumn("label", F.col("athlete_id"))
-    while True:
-        race_labels = links.join(labels, [*keys, "athlete_id"]).groupBy(*keys, "race_id")
-        race_labels = durable(race_labels.agg(F.min("label").alias("label")), "race-labels")
-        athlete_labels = links.join(race_labels, [*keys, "race_id"]).groupBy(*keys, "athlete_id")
-        fresh = athlete_labels.agg(F.min("label").alias("_label")).join(labels, [*keys, "athlete_id"])
-        seen = Observation()
-        moved = F.count(F.when(F.col("_label") != F.col("label"), 1)).alias("moved")
-        fresh = durable(fresh, "labels", seen, moved)
-        labels = fresh.select(*keys, "athlete_id", F.col("_label").alias("label"))
-        if seen.get["moved"] == 0:
-            break
-    race_labels = links.join(labels, [*keys, "athlete_id"]).groupBy(*keys, "race_id")
-    races = race_labels.agg(F.min("label").alias("label"))
-    return _tagged(labels, "athlete", "athlete_id").unionByName(_tagged(races, "race", "race_id"))
-
-
-def _tagged(df: DataFrame, kind: str, node: str) -> DataFrame:
-    return df.withColumnRenamed(node, "node").withColumn("kind", F.lit(kind))
-
-
-def centre_components(
-    athletes: DataFrame, races: DataFrame, labels: DataFrame, keys: list[str]
-) -> DataFrame:
-    """Shift each component so that athletes sum to zero per group with the smallest norm.
+
+def centre_components(effects: DataFrame, keys: list[str]) -> DataFrame:
+    """Shift each component so that athletes sum to zero per group with the smallest norm. ``effects``: keys, label, kind, node, x.
 
     Within a component a constant may move from races to athletes without changing the fit.
     """
-    effects = _tagged(athletes, "athlete", "node").unionByName(_tagged(races, "race", "node"))
-    effects = durable(effects.join(labels, [*keys, "kind", "node"]), "effects")
+    effects = durable(effects, "effects")
     athlete = F.col("kind") == "athlete"
     sign = F.when(athlete, 1.0).otherwise(-1.0)
     parts = effects.groupBy(*keys, "label").agg(
@@ -344,44 +197,37 @@ def centre_components(
 
 
 def winner_differences_distributed(rows: DataFrame, keys: list[str], few: bool) -> DataFrame:
-    """Athlete effects from differences to the winner, intercept centred out."""
-    pairs = rows.groupBy(*keys, "athlete_id", "reference_athlete_id").agg(
-        F.count(F.lit(1)).cast("double").alias("w"), F.sum("y").alias("y")
-    )
-    a, b = F.col("athlete_id"), F.col("reference_athlete_id")
-    # each pair seen from both ends; the sign says which end this row belongs to
-    ends = F.array(
-        F.struct(a.alias("src"), b.alias("dst"), F.lit(1.0).alias("sign")),
-        F.struct(b.alias("src"), a.alias("dst"), F.lit(-1.0).alias("sign")),
-    )
-    links = pairs.withColumn("end", F.explode(ends)).select(*keys, "end.*", "w", "y")
-    links = durable(links, "links")
+    """Athlete effects from differences to the winner.
 
-    sign, w, y = F.col("sign"), F.col("w"), F.col("y")
-    nodes = links.groupBy(*keys, F.col("src").alias("node")).agg(
-        F.sum(w).alias("degree"), F.sum(sign * w).alias("net"), F.sum(sign * y).alias("pull")
+    With the intercept c, the effects are ``by_time - c * by_one`` up to a constant per part, where the two solve the graph for the
+    differences and for ones. The row that ties the mean to -c, and the smallest norm, make that constant -c in every part.
+    c itself is the fit of what ones leave over; where they leave nothing over it is free, and the smallest norm decides.
+    """
+    pairs = rows.groupBy(*keys, F.col("athlete_id").alias("node"), F.col("reference_athlete_id").alias("other")).agg(
+        F.count(F.lit(1)).cast("double").alias("w"), F.sum("y").alias("y")
     )
-    nodes = durable(nodes, "nodes")
-    forward = F.col("sign") > 0
-    groups = links.filter(forward).groupBy(*keys).agg((F.sum(w) + 1).alias("n_rows"), F.sum(y).alias("sum_y"))
-    counts = nodes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    nodes = _by_group(nodes, groups.join(counts, keys), keys, few)
-    n, n_rows = F.col("n"), F.col("n_rows")
-    nodes = nodes.withColumn("u", (F.col("net") + 1 / n) / n_rows).withColumns(
-        {
-            "rhs": F.col("pull") - F.col("u") * F.col("sum_y"),
-            "scale": F.lit(1.0),  # any other scaling would change which answer has minimum norm
-            "c0": 1 / (n * n),
-            "c1": -n_rows,
-        }
+    pairs = durable(pairs, "pairs")
+    ends = [
+        pairs.select(*keys, F.col(end).alias("node"), (sign * F.col("y")).alias("by_time"), (sign * F.col("w")).alias("by_one"))
+        for end, sign in (("node", F.lit(1.0)), ("other", F.lit(-1.0)))
+    ]
+    nodes = ends[0].unionByName(ends[1]).groupBy(*keys, "node").agg(F.sum("by_time").alias("by_time"), F.sum("by_one").alias("by_one"))
+    solved = durable(solve(pairs.drop("y"), nodes, keys, ["by_time", "by_one"]), "pairs-solved")
+    means = solved.groupBy(*keys, "label").agg(F.avg("by_time").alias("mean_time"), F.avg("by_one").alias("mean_one"))
+    solved = solved.join(durable(means, "part-means"), [*keys, "label"]).select(
+        *keys, "node", (F.col("by_time") - F.col("mean_time")).alias("by_time"), (F.col("by_one") - F.col("mean_one")).alias("by_one")
     )
-
-    def neighbour_sums(vector: DataFrame) -> DataFrame:
-        met = links.join(vector.withColumnRenamed("node", "src"), [*keys, "src"])
-        return met.groupBy(*keys, F.col("dst").alias("node")).agg(F.sum(w * F.col("v")).alias("s"))
-
-    solved = conjugate_gradients(nodes, keys, neighbour_sums, few)
-    return solved.select(*keys, F.col("node").alias("athlete_id"), F.col("x").alias("effect"))
+    solved = durable(solved, "parts-centred")
+    one = solved.select(*keys, "node", F.col("by_one").alias("own"))
+    met = pairs.join(one, [*keys, "node"]).join(one.select(*keys, F.col("node").alias("other"), F.col("own").alias("others")), [*keys, "other"])
+    left = F.lit(1.0) - (F.col("own") - F.col("others"))
+    over = met.groupBy(*keys).agg(F.sum(left * F.col("y")).alias("ly"), F.sum(left * F.col("w")).alias("l"), F.sum(left * left * F.col("w")).alias("ll"), F.sum("w").alias("m"))
+    norms = solved.groupBy(*keys).agg(F.sum(F.col("by_one") * F.col("by_time")).alias("ot"), F.sum(F.col("by_one") ** 2).alias("oo"), F.count("*").alias("n"))
+    free = F.col("ot") / (F.col("oo") + F.col("n"))
+    c = F.when(F.col("ll") > LEVELLED * F.col("m"), F.try_divide("ly", "l")).otherwise(free)
+    intercepts = durable(over.join(norms, keys).select(*keys, c.alias("c")), "intercepts")
+    effect = F.col("by_time") - F.col("c") * (F.col("by_one") + 1)
+    return _by_group(solved, intercepts, keys, few).select(*keys, F.col("node").alias("athlete_id"), effect.alias("effect"))
 
 
 # --- public ------------------------------------------------------------------------------

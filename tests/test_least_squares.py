@@ -3,8 +3,11 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from seedline.operators.least_squares import fit_race_effects, fit_winner_differences, minimum_norm
+from seedline.operators import laplacian
+from seedline.operators.components import components
+from seedline.operators.least_squares import fit_race_effects, fit_winner_differences, solve_race_effects
 
 KEYS = ["grp"]
 
@@ -70,9 +73,47 @@ def test_race_effects(spark, route):
         assert max(abs(mine[k] - want[k]) for k in want) < 1e-7
 
 
-def test_not_a_number_is_an_error():
-    with pytest.raises(RuntimeError, match="not finite"):
-        minimum_norm(lambda x: x, np.array([1.0, np.nan]))
+def chain(n):
+    """Athlete i meets athlete i + 1 in race i; the fit is exact."""
+    rng = np.random.default_rng(n)
+    own, race = rng.normal(0, 0.1, n + 1), rng.normal(3, 0.1, n)
+    rows = [("chain", f"r{i}", f"a{i + k}", race[i] + own[i + k]) for i in range(n) for k in (0, 1)]
+    return pd.DataFrame(rows, columns=["grp", "race_id", "athlete_id", "y"]), own - own.mean()
+
+
+@pytest.mark.parametrize("n,limit", [(1500, "1000000"), (1500, "1"), (12000, "1000000"), (12000, "1")])
+def test_chains_on_both_routes(spark, n, limit):
+    pdf, want = chain(n)
+    spark.conf.set("seedline.rowsPerTask", limit)
+    got = fit_race_effects(spark.createDataFrame(pdf), KEYS).where("kind = 'athlete'").toPandas()
+    spark.conf.unset("seedline.rowsPerTask")
+    effect = got.set_index("node").effect
+    assert len(effect) == n + 1 and max(abs(effect[f"a{i}"] - want[i]) for i in range(n + 1)) < 1e-9
+
+
+@pytest.mark.parametrize("limit", ["1000000", "1"])
+def test_not_a_number_is_an_error_that_names_the_list(spark, limit):
+    frame = race_frame(1)
+    frame.loc[3, "y"] = float("inf")
+    spark.conf.set("seedline.rowsPerTask", limit)
+    try:
+        with pytest.raises(Exception, match="list g1 has times that are not finite"):
+            fit_race_effects(spark.createDataFrame(frame), KEYS).collect()
+    finally:
+        spark.conf.unset("seedline.rowsPerTask")
+
+
+def test_a_list_that_does_not_converge_is_named(monkeypatch):
+    monkeypatch.setattr(laplacian, "most_rounds", lambda unknowns: 2)
+    with pytest.raises(RuntimeError, match="list x did not converge"):
+        solve_race_effects(race_frame(1, n_races=30, n_athletes=40), "list x")
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.range(10_000).selectExpr("'g' AS grp", "concat('n', lpad(id, 5, '0')) AS a", "concat('n', lpad(id + 1, 5, '0')) AS b")
+    found, rounds = components(links.unionByName(spark.sql("SELECT 'g' AS grp, 'x' AS a, 'x' AS b")), KEYS)
+    assert rounds < 20
+    assert {(r.label, r.n) for r in found.groupBy("label").agg(F.count("*").alias("n")).collect()} == {("n00000", 10_001), ("x", 1)}
 
 
 def winner_rows(pdf):

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import bucketed, durable, rows_per_task, scratch_path
 from .components import components
 
 TOLERANCE = 1e-12  # on the relative residual of the core
@@ -176,24 +176,42 @@ def _worst(rows: DataFrame, keys: Sequence[str], residual: Column) -> str:
     return ", ".join(str(row[k]) for k in keys)
 
 
-def _core_gradients(links: DataFrame, nodes: DataFrame, keys: Sequence[str], rhs: str) -> DataFrame:
-    """keys, node, x. The vectors are written once a round, which also observes the residual; a list that has converged stands still."""
-    degree = links.groupBy(*keys, "node").agg(F.sum("w").alias("degree"))
-    start = nodes.select(*keys, "node", F.col(rhs).alias("r")).join(degree, [*keys, "node"])
-    start = start.select(*keys, "node", "degree", "r", F.lit(0.0).alias("x"), (F.col("r") / F.col("degree")).alias("p"))
+def core_table(links: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(links in buckets of the node they bring a value from; keys, node, degree, parts), written once for all rounds.
+
+    A node with more links than a task may hold is in several parts, and its value goes to each of them."""
+    limit = rows_per_task(links.sparkSession)
+    sizes = links.groupBy(*keys, "node").agg(F.sum("w").alias("degree"), F.ceil(F.count("*") / F.lit(limit)).cast("int").alias("parts"))
+    sizes = durable(sizes, "core-sizes")
+    at = sizes.select(*keys, F.col("node").alias("other"), "parts")
+    cut = links.join(at, [*keys, "other"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    return bucketed(cut.select(*keys, "other", "part", "node", "w"), "core-table", [*keys, "other", "part"]), sizes
+
+
+def neighbour_sums(table: DataFrame, vector: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, node, s: the weighted sum of ``p`` around every node. ``vector``: keys, node, parts, p. The links are not shuffled."""
+    sent = vector.select(*keys, F.col("node").alias("other"), "p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return table.join(sent, [*keys, "other", "part"]).groupBy(*keys, "node").agg(F.sum(F.col("w") * F.col("p")).alias("s"))
+
+
+def _core_gradients(table: DataFrame, sizes: DataFrame, nodes: DataFrame, keys: Sequence[str], rhs: str) -> DataFrame:
+    """keys, node, x. The vectors are written once a round, over those of the last but one, and the residual is observed by the same job; a
+    list that has converged stands still."""
+    start = nodes.select(*keys, "node", F.col(rhs).alias("r")).join(sizes, [*keys, "node"])
+    start = start.select(*keys, "node", "degree", "parts", "r", F.lit(0.0).alias("x"), (F.col("r") / F.col("degree")).alias("p"))
     state = durable(start, "cg-start")
+    places = [scratch_path(nodes.sparkSession, "cg-round") for _ in range(2)]
     opening = state.groupBy(*keys).agg(F.sum(F.col("r") * F.col("p")).alias("rz"), F.count("*").alias("unknowns"))
     opening = durable(opening.withColumn("first", F.col("rz")), "cg-lists")
     bound = most_rounds(opening.agg(F.max("unknowns")).first()[0] or 0)
     state = state.join(opening.drop("unknowns"), [*keys])
     ratio = F.when(F.col("first") != 0, F.col("rz") / F.col("first")).otherwise(0.0)
     m, r, p, q = (F.col(c) for c in ("degree", "r", "p", "q"))
-    for _ in range(bound):
-        met = links.join(state.select(*keys, F.col("node").alias("other"), "p"), [*keys, "other"])
-        sums = met.groupBy(*keys, "node").agg(F.sum(F.col("w") * p).alias("s"))
+    for turn in range(bound):
+        sums = neighbour_sums(table, state, keys)
         seen = Observation()
         work = state.join(sums, [*keys, "node"], "left").withColumn("q", m * p - F.coalesce("s", F.lit(0.0))).drop("s")
-        work = durable(work, "cg-round", seen, F.max(ratio).alias("worst"))
+        work = durable(work, "cg-round", seen, F.max(ratio).alias("worst"), path=places[turn % 2])
         worst = seen.get["worst"] or 0.0
         if not np.isfinite(worst):
             raise RuntimeError(f"list {_worst(work, keys, ratio)} has times that are not finite")
@@ -221,11 +239,13 @@ def solve(links: DataFrame, nodes: DataFrame, keys: Sequence[str], rhs: Sequence
     linked, _ = components(core_links.select(*keys, F.col("node").alias("a"), F.col("other").alias("b")), keys)
     known = core.select(*keys, "node").join(linked, [*keys, "node"], "left").withColumn("label", F.coalesce("label", "node"))
     empty = core_links.isEmpty()
+    if not empty:
+        table, sizes = core_table(core_links, keys)
     for c in rhs:
         if empty:
             known = known.withColumn(c, F.lit(0.0))
         else:
-            x = _core_gradients(core_links, core, keys, c).withColumnRenamed("x", c)
+            x = _core_gradients(table, sizes, core, keys, c).withColumnRenamed("x", c)
             known = known.join(x, [*keys, "node"], "left").withColumn(c, F.coalesce(c, F.lit(0.0)))
     known = durable(known, "core-solved")
     for picked in reversed(gone):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -92,12 +93,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/seedline/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, label: str, observation: Observation | None = None, *metrics) -> DataFrame:
+def bucketed(df: DataFrame, label: str, columns: list[str], rows_per_bucket: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder in buckets of ``columns`` and read it back: a join on them does not shuffle it again.
+
+    As many buckets as keep each at about ``rows_per_bucket`` (``seedline.rowsPerTask`` by default), but no fewer than shuffle partitions.
+    """
+    spark = df.sparkSession
+    written = durable(df, label)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, -(-written.count() // (rows_per_bucket or ROWS_PER_TASK)))
+    name = f"seedline_{re.sub('[^a-z0-9]', '_', label.lower())}_{uuid.uuid4().hex}"
+    writer = written.repartition(buckets, *columns).write.bucketBy(buckets, *columns).sortBy(*columns)
+    writer.option("path", scratch_path(spark, f"{label}-buckets")).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def durable(df: DataFrame, label: str, observation: Observation | None = None, *metrics, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage, survives the loss of executors, and gives the optimiser the measured size,
     so that a broadcast is chosen from real bytes. ``metrics`` are observed by the same job.
+    ``path``: a place to write to again, whose former table no plan reads any more.
     """
-    path = scratch_path(df.sparkSession, label)
-    (df.observe(observation, *metrics) if observation is not None else df).write.parquet(path)
+    mode, path = "overwrite" if path else "errorifexists", path or scratch_path(df.sparkSession, label)
+    (df.observe(observation, *metrics) if observation is not None else df).write.mode(mode).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -109,6 +109,25 @@ def test_a_list_that_does_not_converge_is_named(monkeypatch):
         solve_race_effects(race_frame(1, n_races=30, n_athletes=40), "list x")
 
 
+def test_links_are_not_shuffled_again(spark, tiny_tasks):
+    """A round moves vectors only: nothing is exchanged between the written links and the join with the vector."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = spark.range(400).selectExpr("'g' AS grp", "concat('n', id % 20) AS node", "concat('m', id % 7) AS other", "1.0D AS w")
+        both = links.unionByName(links.selectExpr("grp", "other AS node", "node AS other", "w"))
+        table, sizes = laplacian.core_table(both, KEYS)
+        sums = laplacian.neighbour_sums(table, sizes.withColumn("p", F.lit(1.0)), KEYS)
+        assert {(r.node, r.s) for r in sums.collect()} == {(r.node, r.degree) for r in sizes.collect()}
+        plan = sums._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        lines = plan.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+        join = max(i for i, line in enumerate(lines[:scan]) if "Join" in line)
+        assert not any("Exchange" in line for line in lines[join:scan])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(10_000).selectExpr("'g' AS grp", "concat('n', lpad(id, 5, '0')) AS a", "concat('n', lpad(id + 1, 5, '0')) AS b")
     found, rounds = components(links.unionByName(spark.sql("SELECT 'g' AS grp, 'x' AS a, 'x' AS b")), KEYS)

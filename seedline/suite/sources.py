@@ -150,7 +150,7 @@ def publish_tables(fx: Fixtures) -> DataFrame:
         house.write_table("dim_races", part.select("race_id"))
         house.publish_tables()
     published = house.read_table("dim_races").withColumn("version", F.lit("published"))
-    archived = fx.spark.table(house.qualified(house.names("dim_races").archive))
+    archived = house.read_archive("dim_races", house.names("dim_races").archive)
     return published.unionByName(archived.withColumn("version", F.lit("archived")))
 
 

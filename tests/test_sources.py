@@ -146,22 +146,65 @@ def test_publish(spark, house):
         house.write_table("t", [1])
 
 
-def test_publish_is_all_or_nothing(spark, house, monkeypatch):
-    for name in ("a", "b"):
-        house.write_table(name, spark.range(1).toDF("x"), lifecycle=False)
-        house.write_table(name, spark.range(5).toDF("x"))
-    rename = Warehouse._rename
-
-    def failing(self, old, new, done):
-        if new == "b_dev" and old.startswith("__"):
-            raise RuntimeError("lost the catalog")
-        rename(self, old, new, done)
-
-    monkeypatch.setattr(Warehouse, "_rename", failing)
-    with pytest.raises(RuntimeError):
+def test_archives_stay(spark, house):
+    for n in (1, 2, 3, 4):
+        house.write_table("t", spark.range(n).toDF("x"))
         house.publish_tables()
-    monkeypatch.undo()
-    assert house.read_table("a").count() == house.read_table("b").count() == 1
-    assert house.read_latest_or_temp("a").count() == 5
+    assert [spark.table(house.qualified(p)).count() for _, status, _, p in house.manifest() if status == "archived"] == [1, 2, 3]
+    assert house.read_archive("t").count() == 3 and spark.table(house.qualified("t_dev")).count() == 4
+    house.write_table("t", spark.range(9).toDF("x"))
+    house.write_table("t", spark.range(8).toDF("x"))  # the version that waited is replaced
     house.publish_tables()
-    assert house.read_table("a").count() == house.read_table("b").count() == 5
+    assert house.read_table("t").count() == 8
+    with pytest.raises(ValueError):
+        house.read_archive("other")
+
+
+def test_a_table_from_before_the_manifest(spark, house):
+    spark.range(6).toDF("x").write.saveAsTable(house.qualified("t_dev"))
+    assert house.read_table("t").count() == 6
+    house.write_table("t", spark.range(2).toDF("x"))
+    house.publish_tables()
+    assert house.read_table("t").count() == 2 and house.read_archive("t").count() == 6
+
+
+def counts(house):
+    return {(base, status, label): house.spark.table(house.qualified(physical)).count() for base, status, label, physical in house.manifest()}
+
+
+def test_a_failure_at_any_step_leaves_the_old_versions(spark, house, monkeypatch):
+    """Statement after statement of the catalog fails; readers see all the old versions or all the new ones."""
+    for n in (1, 2):
+        for name in ("a", "b"):
+            house.write_table(name, spark.range(n).toDF("x"))
+        house.publish_tables()
+    before, step = counts(house), 0
+    sql = type(spark).sql
+    while True:
+        for name in ("a", "b"):
+            house.write_table(name, spark.range(5).toDF("x"))
+        left = [step]
+
+        def failing(self, query, *args, **named):
+            if left[0] == 0:
+                raise RuntimeError("lost the catalog")
+            left[0] -= 1
+            return sql(self, query, *args, **named)
+
+        monkeypatch.setattr(type(spark), "sql", failing)
+        try:
+            house.publish_tables()
+            failed = False
+        except RuntimeError:
+            failed = True
+        monkeypatch.undo()
+        seen = (house.read_table("a").count(), house.read_table("b").count())
+        assert seen in ((2, 2), (5, 5)) and all(counts(house)[k] for k in before if k[1] == "archived")
+        if seen == (2, 2):
+            assert failed and counts(house) == before and house.read_latest_or_temp("a").count() == 5
+        else:
+            break
+        step += 1
+    house.refresh_names()
+    assert spark.table(house.qualified("a_dev")).count() == spark.table(house.qualified("b_dev")).count() == 5
+    assert house.read_archive("a").count() == 2

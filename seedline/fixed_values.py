@@ -78,3 +78,31 @@ ROBUST_PERCENTILES = (0.25, 0.75)
 OUTLIER_MIN_RACES = 5
 OUTLIER_SIGMA = 2.0
 STALENESS_MONTHS = 3
+
+# Columns of the published tables.
+WINDOW_COLUMNS = [
+    "penalty_list_season",
+    "penalty_list_date",
+    "race_id",
+    "race_date",
+    "gender",
+    "athlete_id",
+    "athlete_name",
+    "series",
+    "reference_athlete_id",
+    "time_float",
+    "log_time",
+    "time_log_ratio",
+    "days_from_race_to_publication",
+]
+ATHLETE_ATTRIBUTES = [
+    "athlete_name",
+    "school",
+    "club",
+    "city_town",
+    "state",
+    "usss_age",
+    "grade",
+    "is_ehs_eligible",
+    "is_u16c_eligible",
+]

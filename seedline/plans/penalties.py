@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed_values import OUTLIER_MIN_RACES, OUTLIER_SIGMA, ROBUST_PERCENTILES, TARGET_MEAN
+from ..fixed_values import (
+    ATHLETE_ATTRIBUTES,
+    OUTLIER_MIN_RACES,
+    OUTLIER_SIGMA,
+    ROBUST_PERCENTILES,
+    TARGET_MEAN,
+    WINDOW_COLUMNS,
+)
 from ..operators.groups import is_hot, robust_means, with_group_stats, with_rank
 from ..operators.least_squares import fit_race_effects, fit_winner_differences
 from ..session import durable
@@ -13,32 +20,6 @@ from ..session import durable
 LIST = ["penalty_list_season", "penalty_list_date", "gender"]
 LIST_RACE = ["penalty_list_date", "race_id", "gender"]
 DIAGNOSTIC_KEY = [*LIST, "race_id", "athlete_id"]
-WINDOW_COLUMNS = [
-    "penalty_list_season",
-    "penalty_list_date",
-    "race_id",
-    "race_date",
-    "gender",
-    "athlete_id",
-    "athlete_name",
-    "series",
-    "reference_athlete_id",
-    "time_float",
-    "log_time",
-    "time_log_ratio",
-    "days_from_race_to_publication",
-]
-ATHLETE_ATTRIBUTES = [
-    "athlete_name",
-    "school",
-    "club",
-    "city_town",
-    "state",
-    "usss_age",
-    "grade",
-    "is_ehs_eligible",
-    "is_u16c_eligible",
-]
 
 
 # --- rows the models see -----------------------------------------------------------------
@@ -47,9 +28,9 @@ ATHLETE_ATTRIBUTES = [
 def registered_window_results(
     registrations: DataFrame, results: DataFrame, races_by_window: DataFrame
 ) -> DataFrame:
-    """Timed results of window races by athletes registered in the list's season (ghosts included)."""
+    """Results with a finite time of window races, by athletes registered in the list's season (ghosts included)."""
     races = races_by_window.select("penalty_list_season", "penalty_list_date", "race_id", "series")
-    timed = results.filter("time_float IS NOT NULL AND NOT isnan(time_float)").select(
+    timed = results.filter("abs(time_float) < double('infinity')").select(
         "race_id", "athlete_id", "athlete_name", "race_date", "gender", "time_float"
     )
     registered = registrations.select(F.col("race_season").alias("penalty_list_season"), "athlete_id")

@@ -138,7 +138,7 @@ def join_align_penalties(fx: Fixtures) -> DataFrame:
 RESIDUALS = (
     sql.MODEL_ROWS
     + """, resid AS (SELECT *, log_time - avg(log_time) OVER (PARTITION BY penalty_list_season, penalty_list_date, gender, athlete_id)
-    AS residual FROM model_rows WHERE series <> 'EC'),
+    AS residual FROM model_rows),
 stats AS (SELECT penalty_list_season, penalty_list_date, gender, athlete_id, count(*) AS n_races, avg(residual) AS resid_mean,
     stddev_samp(residual) AS resid_std FROM resid GROUP BY ALL),
 flagged_races AS (SELECT r.*, s.n_races >= 5 AND s.resid_std > 0 AND r.residual > s.resid_mean + 2 * s.resid_std AS is_outlier_race
@@ -147,7 +147,7 @@ flagged_races AS (SELECT r.*, s.n_races >= 5 AND s.resid_std > 0 AND r.residual
 
 
 def residual_rows(fx: Fixtures) -> DataFrame:
-    rows = penalties.with_log_features(penalties.with_winner(_model_base(fx))).filter("series <> 'EC'")
+    rows = penalties.with_log_features(penalties.with_winner(_model_base(fx)))
     mean = rows.groupBy(*penalties.LIST, "athlete_id").agg(F.avg("log_time").alias("_mean"))
     rows = rows.join(mean, [*penalties.LIST, "athlete_id"])
     return rows.withColumn("initial_residual", F.col("log_time") - F.col("_mean")).drop("_mean")
@@ -156,12 +156,14 @@ def residual_rows(fx: Fixtures) -> DataFrame:
 @query(
     f"""SELECT m.penalty_list_season, m.penalty_list_date, m.race_id, m.gender, m.athlete_id,
   coalesce(f.is_outlier_race, false) AS is_outlier_race, {rounded_sql('f.residual', 'initial_residual', 7)}
-FROM model_rows m LEFT JOIN flagged_races f USING (penalty_list_season, penalty_list_date, race_id, gender, athlete_id)""",
+FROM model_rows m LEFT JOIN (SELECT * FROM flagged_races WHERE series <> 'EC') f
+  USING (penalty_list_season, penalty_list_date, race_id, gender, athlete_id)""",
     RESIDUALS,
 )
 def join_diagnostics(fx: Fixtures) -> DataFrame:
     rows = _model_base(fx)
     flagged = penalties.with_outlier_flag(residual_rows(fx)).withColumn("adjusted_residual", F.col("initial_residual"))
+    flagged = flagged.filter("series <> 'EC'")  # rows without diagnostics are part of the join
     table = penalties.with_diagnostics(rows, penalties.diagnostics_by_key(flagged))
     keys = ["penalty_list_season", "penalty_list_date", "race_id", "gender", "athlete_id"]
     return table.select(*keys, "is_outlier_race", rounded("initial_residual", 7))

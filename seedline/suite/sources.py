@@ -33,12 +33,12 @@ def write_sheets(fx: Fixtures) -> str:
 
 
 @query(
-    f"""SELECT name AS "Name", time AS "Race Time", usss AS "USSS#", school AS "School", remark AS "Remark" FROM sheet_rows WHERE {IN_FIRST}"""
+    """SELECT name AS "Name", time AS "Race Time", usss AS "USSS#", school AS "School", remark AS "Remark" FROM sheet_rows"""
 )
 def scan_csv_all_string(fx: Fixtures) -> DataFrame:
     path = scratch_path(fx.spark, "sheet")
     columns = [F.col(c).alias(header) for c, header in FIRST_LAYOUT.items()]
-    fx.sheet_rows.filter(IN_FIRST).select(*columns).write.csv(path, header=True, escape='"')
+    fx.sheet_rows.select(*columns).write.csv(path, header=True, escape='"')
     return sheets.scan_csv_text(fx.spark, path)
 
 

@@ -162,7 +162,7 @@ def test_line_rules(spark, odd, none):
     prose = " ".join(f"v{i}" for i in range(60))
     shared = "this very line is everywhere on the host"
     docs = odd.unionByName(table(spark, [(200 + i, f"{prose} n{chr(97 + i)}\n{shared}", "h") for i in range(6)] + [(300 + i, f"{shared}\n" * 8 + f"k{i}", "h") for i in range(6)]))
-    out = {r.doc_id: r for r in line_rules.verdicts(docs, most_texts=5).where("doc_id is not null").collect()}
+    out = {r.doc_id: r for r in line_rules.verdicts(docs).where("doc_id is not null").collect()}
     assert line_rules.verdicts(docs).count() == docs.count() and line_rules.verdicts(none).count() == 0
     assert out[200].kept and out[200].removed_words == 8 and not out[300].kept
     assert out[0].n_words == 0 and not out[0].kept and out[12].n_repeat_words == 300
@@ -170,6 +170,20 @@ def test_line_rules(spark, odd, none):
     assert out[5].n_words == len(words) and out[5].word_chars == sum(map(len, words)) and out[300].n_dup_lines == 7
 
 
+def test_lines_count_per_document_of_a_host(spark):
+    prose = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdefghijklmnopqrstuvwxyz"]
+    often, seldom = "read more on page 17", "only five of us"
+    # host p: a line of six documents in 100 goes, digits aside, one of five stays; host q: the same six in 200 stay
+    rows = [(i, f"{prose[i % 26]} {i}\n" + (often.replace("17", str(i)) + "\n" + often if i < 6 else seldom if i < 11 else ""), "p") for i in range(100)]
+    rows += [(1000 + i, f"{prose[i % 26]} {i}\n" + (often if i < 6 else ""), "q") for i in range(200)]
+    # six exact copies are six documents: a copied page cannot keep its lines by being equal
+    rows += [(2000 + i, "copied page\n" + prose[0], None) for i in range(6)] + [(2100, prose[1], None)]
+    out = {r.doc_id: r for r in line_rules.verdicts(table(spark, rows)).collect()}
+    assert [out[i].removed_words for i in range(12)] == [10] * 6 + [0] * 6
+    assert all(out[1000 + i].removed_words == 0 and out[1000 + i].kept for i in range(200))
+    assert all(out[2000 + i].removed_words == 62 and not out[2000 + i].kept for i in range(6)) and out[2100].kept
+
+
 def test_chat(spark):
     rows = [(1, 0, "system", "be [kind]"), (1, 1, "user", "</s>[INST] %3C hi"), (1, 2, "assistant", None), (2, 0, "user", "x"), (2, 0, "user", "x"), (None, None, None, "?"), (3, 1, "to]\nol", "%25")]
     frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("segments", F.lit("clash"))

@@ -156,6 +156,22 @@ SELECT CASE c_custkey % 9 WHEN 0 THEN 'U16/EHS Qualifer - Boys' WHEN 1 THEN ' U1
   CAST(2024 + c_custkey % 3 AS BIGINT) AS race_season
 FROM customer"""
 
+# Sheets of a season whose races have one result per athlete, the best of the season in the series.
+VIEWS["season_sheets"] = """
+SELECT concat('prep_results_', series, CAST(race_season AS STRING), CASE WHEN suppkey % 2 = 0 THEN '_b' ELSE '_g' END) AS sheet_name, series,
+  concat('Skier ', CAST(suppkey AS STRING)) AS name, CASE WHEN min(time_float) IS NULL THEN 'DNF'
+    ELSE concat(CAST(CAST(floor(min(time_float)) AS BIGINT) AS STRING), ':', CAST(CAST(floor((min(time_float) - floor(min(time_float))) * 60) AS BIGINT) AS STRING)) END AS time,
+  CAST(suppkey + 5000 AS STRING) AS usss, concat('School, "', CAST(suppkey % 9 AS STRING), '"') AS school, min(race_id) AS remark
+FROM race_times WHERE series <> 'RF' GROUP BY series, race_season, suppkey"""
+
+# Entry forms of the athletes in the sheets, as they are filled in.
+VIEWS["season_forms"] = """
+SELECT CASE WHEN is_ghost_registration THEN 'GHOST' WHEN gender = 'b' THEN 'U16/EHS Qualifer - Boys' ELSE ' U16/EHS Qualifier - Girls ' END AS category,
+  'Skier' AS first_name, substr(athlete_id, 2) AS last_name, lower(city_town) AS city, lower(state) AS state, lower(school) AS school, '' AS school_oth,
+  club, CASE WHEN gender = 'b' THEN 'M' ELSE 'f' END AS gender, CAST(nensa_number AS STRING) AS nensa, CAST(usss_number AS STRING) AS usss,
+  CAST(birth_year AS STRING) AS birth_year, CAST(grade AS STRING) AS grade, race_season
+FROM dim_registrations"""
+
 STAGED_REGISTRATION_NAMES = {
     "category": "Category Entered / Merchandise Ordered",
     "first_name": "First Name",
@@ -185,7 +201,8 @@ FROM race_times GROUP BY series, race_season"""
 # Sheets as files; no file exists for series RF, and NO has one that no race asks for.
 VIEWS["sheet_rows"] = """
 SELECT concat('prep_results_', series, CAST(race_season AS STRING), CASE WHEN suppkey % 2 = 0 THEN '_b' ELSE '_g' END) AS sheet_name, series,
-  concat('Skier ', CAST(suppkey AS STRING)) AS name, CASE WHEN time_float IS NULL THEN 'DNF' ELSE CAST(CAST(floor(time_float) AS BIGINT) AS STRING) END AS time,
+  concat('Skier ', CAST(suppkey AS STRING)) AS name, CASE WHEN time_float IS NULL THEN 'DNF' ELSE concat(CAST(CAST(floor(time_float) AS BIGINT) AS STRING), ':',
+    CAST(CAST(floor((time_float - floor(time_float)) * 60) AS BIGINT) AS STRING)) END AS time,
   CAST(suppkey + 5000 AS STRING) AS usss, concat('School, "', CAST(suppkey % 9 AS STRING), '"') AS school, race_id AS remark
 FROM race_times WHERE series <> 'RF'"""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,6 +91,30 @@ def check_mapping(resolved: DataFrame) -> DataFrame:
     return checks.not_one_row(resolved, ["race_id", "gender"])
 
 
+def sheet_report(resolved: DataFrame, inventory: DataFrame, prefix: str = SHEET_PREFIX) -> DataFrame:
+    """Sheets that do not meet: ``missing`` ones a race asks for, ``orphaned`` ones that no race asks for."""
+    missing = resolved.filter("source_file_id IS NULL").select(
+        F.lit("missing").alias("problem"), "race_id", "gender", "sheet_name", "source_file_id"
+    )
+    files = inventory.filter(F.col("sheet_name").startswith(prefix))
+    none = F.lit(None).cast("string")
+    orphaned = checks.unreferenced_files(files, resolved).select(
+        F.lit("orphaned").alias("problem"), none.alias("race_id"), none.alias("gender"), "sheet_name", "source_file_id"
+    )
+    return missing.unionByName(orphaned)
+
+
+def warn_about_sheets(report: DataFrame, sample: int = 20) -> None:
+    """One warning per kind of problem: how many sheets, and the first of them."""
+    report = durable(report, "sheet-report")
+    counts = {r["problem"]: r["n"] for r in report.groupBy("problem").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for problem, n in sorted(counts.items()):
+        rows = report.filter(F.col("problem") == problem).orderBy("sheet_name", "race_id", "gender").limit(sample).collect()
+        named = [(r["race_id"], r["gender"], r["sheet_name"]) if problem == "missing" else r["sheet_name"] for r in rows]
+        left = "skipped" if problem == "missing" else "not in the race list"
+        warnings.warn(f"{n} {problem} sheet(s), {left}: {named}", stacklevel=3)
+
+
 def with_result_urls(races: DataFrame, resolved: DataFrame) -> DataFrame:
     """One address column per gender on the race table."""
     urls = (
@@ -104,13 +130,15 @@ def with_result_urls(races: DataFrame, resolved: DataFrame) -> DataFrame:
 def staged_results(root: str, race_list: DataFrame, inventory: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(stg_results, dim_races): every sheet a race asks for, in one read, standardised.
 
-    Fails when a title stands for several files or a race and gender for several sheets.
+    Fails when a title stands for several files or a race and gender for several sheets;
+    warns of sheets that are missing and of files that no race asks for.
     """
     races = dim_races(race_list)
     needed = needed_sheets(races)
     checks.require_none(check_inventory(inventory), "a sheet title stands for several files")
     resolved = resolve_sheets(needed, inventory)
     checks.require_none(check_mapping(resolved), "race and gender must name exactly one sheet")
+    warn_about_sheets(sheet_report(resolved, inventory))
     sheets = read_sheets(race_list.sparkSession, root)
     wanted = resolved.filter("source_file_id IS NOT NULL").select(
         "sheet_name", "race_id", "gender", "source_file_id", "prep_results_url"

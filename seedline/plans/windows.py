@@ -60,7 +60,7 @@ def races_by_penalty_window(
     races: DataFrame,
     *,
     staleness_months: int = STALENESS_MONTHS,
-    warn: bool = False,
+    warn: bool = True,
 ) -> DataFrame:
     """One row per penalty list and contributing race."""
     if warn:

@@ -45,6 +45,23 @@ def schema_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "name string, dtype string, description string")
 
 
+def write_prep_table(df: DataFrame, path: str, schema_path: str) -> None:
+    """Store a table as text, next to a companion table that names its types and describes its columns."""
+    df.write.csv(path, header=True, escape='"')
+    schema_table(df).write.csv(schema_path, header=True, escape='"')
+
+
+def read_prep_table(spark: SparkSession, path: str, schema_path: str) -> DataFrame:
+    """A table stored as text, typed by its companion; descriptions become column comments.
+
+    The companion has one row per column, so it may come to the driver. Columns it does not name stay text.
+    """
+    rows = scan_prep_table(spark, schema_path, "name string, dtype string, description string").collect()
+    text = spark.read.csv(path, header=True, escape='"')
+    typed = apply_schema(text, {r["name"]: r["dtype"] for r in rows if r["dtype"]})
+    return with_descriptions(typed, {r["name"]: r["description"] for r in rows if r["description"] and r["name"] in typed.columns})
+
+
 def with_descriptions(df: DataFrame, descriptions: dict[str, str]) -> DataFrame:
     """Attach column comments; they are stored with the table."""
     for name, text in descriptions.items():

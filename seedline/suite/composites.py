@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..fixed_values import CLUB_SPELLINGS, CLUBS_MEANING_NONE, GENDER_CODES, GHOST_CATEGORY
 from ..fixtures import STAGED_REGISTRATION_NAMES, Fixtures
+from ..functions.text import short_hash
 from ..operators.joins import spelling_lookup
-from ..plans import penalties, registrations, results, staging, standings, windows
+from ..plans import penalties, registrations, results, season, staging, standings, windows
 from ..sources import sheets
 from . import sql
 from .joining import LATEST_SPELLING
 from .models import BOTH
 from .registry import query, rounded, rounded_sql
-from .rows import NEEDED, SEASONS
+from .rows import NEEDED, RACES_SQL, SEASONS
 from .scalars import CLEAN_SQL, FULL_NAME_SQL, GRADE_SQL, SCHOOL_SQL, TIME_SQL, contributing, scored, title_sql
 from .sources import write_sheets
 
 
-@query(
-    """SELECT n.race_id, n.gender, name AS name_raw, time AS time_raw, usss AS usss_id, CAST(NULL AS VARCHAR) AS fis_id,
-  CASE WHEN series LIKE 'A%' THEN school END AS school_raw, CAST(NULL AS VARCHAR) AS team_raw, CAST(NULL AS VARCHAR) AS state_raw
-FROM sheet_rows s JOIN needed n ON n.sheet_name = s.sheet_name""",
-    NEEDED,
-)
+STANDARD = """name AS name_raw, time AS time_raw, usss AS usss_id, CAST(NULL AS VARCHAR) AS fis_id,
+  CASE WHEN series LIKE 'A%' THEN school END AS school_raw, CAST(NULL AS VARCHAR) AS team_raw, CAST(NULL AS VARCHAR) AS state_raw"""
+
+
+@query(f"SELECT n.race_id, n.gender, {STANDARD} FROM sheet_rows s JOIN needed n ON n.sheet_name = s.sheet_name", NEEDED)
 def stg_results(fx: Fixtures) -> DataFrame:
     root = write_sheets(fx)
     inventory = sheets.file_inventory(fx.spark, root, folders=True)
@@ -31,6 +34,26 @@ def stg_results(fx: Fixtures) -> DataFrame:
     return staged.drop("source_file_id", "prep_results_url", "created_at")
 
 
+@query(f"SELECT sheet_name AS race_id, {STANDARD} FROM sheet_rows")
+def stg_results_by_file(fx: Fixtures) -> DataFrame:
+    """Staging without a race list: every file is a race, and there is no gender."""
+    root = write_sheets(fx)
+    files = sheets.infra_result_files(sheets.file_inventory(fx.spark, root, folders=True))
+    return staging.staged_results_by_file(root, files).drop("file_id", "created_at")
+
+
+@query(
+    """SELECT 'missing' AS problem, race_id, gender, sheet_name FROM needed WHERE sheet_name NOT IN (SELECT sheet_name FROM sheet_rows)
+UNION ALL SELECT DISTINCT 'orphaned', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), sheet_name FROM sheet_rows
+WHERE sheet_name NOT IN (SELECT sheet_name FROM needed)""",
+    NEEDED,
+)
+def sheet_report(fx: Fixtures) -> DataFrame:
+    inventory = sheets.file_inventory(fx.spark, write_sheets(fx), folders=True)
+    resolved = staging.resolve_sheets(staging.needed_sheets(staging.dim_races(fx.race_list)), inventory)
+    return staging.sheet_report(resolved, inventory).drop("source_file_id")
+
+
 SPELLED = LATEST_SPELLING + ", schools AS (SELECT variant, canonical FROM school_spellings)"
 DIM_RESULTS = (
     SPELLED
@@ -44,15 +67,15 @@ final AS (SELECT *, known_name IN (SELECT non_person FROM non_people) AS is_unid
 )
 
 
-@query(
-    f"""SELECT left(sha256(left(sha256(gender || ',' || athlete_name), 12) || ',' || race_id), 12) AS result_id, race_id,
+RESULT_COLUMNS = """left(sha256(left(sha256(gender || ',' || athlete_name), 12) || ',' || race_id), 12) AS result_id, race_id,
   left(sha256(gender || ',' || athlete_name), 12) AS athlete_id, race_date, race_season, gender,
   CASE WHEN minutes IS NOT NULL THEN rank() OVER (PARTITION BY race_id, gender ORDER BY minutes NULLS LAST) END AS finish_place,
   athlete_name, CASE WHEN minutes IS NULL THEN '' ELSE printf('%02d:%05.2f', CAST(floor(minutes) AS BIGINT), (minutes - floor(minutes)) * 60) END AS time,
-  {rounded_sql('minutes', 'time_float', 9)}, usss_id, fis_id, source_file_id, prep_results_url, is_unidentified_athlete, school,
-  team_raw AS team, state_raw AS state FROM final""",
-    DIM_RESULTS,
-)
+  {time} AS time_float, usss_id, fis_id, source_file_id, prep_results_url, is_unidentified_athlete, school,
+  team_raw AS team, state_raw AS state"""
+
+
+@query(f"SELECT {RESULT_COLUMNS.format(time=rounded_sql('minutes', '', 9).removesuffix(' AS '))} FROM final", DIM_RESULTS)
 def dim_results(fx: Fixtures) -> DataFrame:
     names = spelling_lookup(fx.name_spellings, "canonical", "variant", "line")
     schools = spelling_lookup(fx.school_spellings, "canonical", "variant", "line")
@@ -176,3 +199,50 @@ def standings_from_fitted_penalties(fx: Fixtures) -> DataFrame:
     races = windows.races_by_penalty_window(fx.publications, fx.contribution_windows, fx.dim_races)
     _, table = penalties.build_penalties(fx.dim_registrations, fx.dim_results, races)
     return standings.season_standings(fx.point_series, table, fx.dim_results, fx.dim_races, fx.dim_registrations)
+
+
+def _renamed(text: str, **names: str) -> str:
+    """SQL with other tables in the place of some."""
+    for old, new in names.items():
+        text = re.sub(rf"\b{old}\b", new, text)
+    return text
+
+
+FROM_FILES = (
+    NEEDED
+    + f""", file_races AS ({RACES_SQL}),
+file_staged AS (SELECT n.race_id, n.gender, {STANDARD}, CAST(NULL AS VARCHAR) AS source_file_id, CAST(NULL AS VARCHAR) AS prep_results_url
+  FROM season_sheets s JOIN needed n ON n.sheet_name = s.sheet_name), """
+    + _renamed(DIM_RESULTS, staged="file_staged", dim_races="file_races")
+    + f", file_results AS (SELECT {RESULT_COLUMNS.format(time='minutes')} FROM final)"
+    + _renamed(REGISTERED.removeprefix(SPELLED), staged_registrations="season_forms")
+    + """, file_penalties AS (SELECT * REPLACE (left(sha256(gender || ',Skier ' || substr(athlete_id, 2)), 12) AS athlete_id) FROM stand_in_penalties), """
+    + _renamed(
+        sql.STANDINGS, dim_results="file_results", dim_races="file_races", dim_registrations="registered", stand_in_penalties="file_penalties"
+    )
+)
+
+
+def season_inputs(fx: Fixtures) -> season.Inputs:
+    root = write_sheets(fx, "season_sheets")
+    return season.Inputs(
+        sheets=root,
+        race_list=fx.race_list,
+        inventory=sheets.file_inventory(fx.spark, root, folders=True),
+        registrations=fx.season_forms.withColumnsRenamed(STAGED_REGISTRATION_NAMES),
+        names=spelling_lookup(fx.name_spellings, "canonical", "variant", "line"),
+        schools=spelling_lookup(fx.school_spellings, "canonical", "variant", "line"),
+        non_people=fx.non_people,
+        publications=fx.publications,
+        contribution_windows=fx.contribution_windows,
+        point_series=fx.point_series,
+        athlete_penalties=fx.stand_in_penalties.withColumn(
+            "athlete_id", short_hash(F.col("gender"), F.concat(F.lit("Skier "), F.substring("athlete_id", 2, 99)))
+        ),
+    )
+
+
+@query("SELECT * FROM standings", FROM_FILES)
+def files_to_standings(fx: Fixtures) -> DataFrame:
+    """Result sheets and entry forms to standings, stage by stage."""
+    return season.files_to_standings(season.StagedRun(fx.spark), season_inputs(fx))

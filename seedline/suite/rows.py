@@ -19,12 +19,13 @@ NEEDED = """needed AS (SELECT race_id, 'b' AS gender, trim(boys_results_name) AS
 RESOLVED = NEEDED + ", resolved AS (SELECT n.*, i.source_file_id, i.modified_at FROM needed n LEFT JOIN inventory i USING (sheet_name))"
 
 
-@query(
-    """SELECT race_id, CAST(TRY_CAST(date AS TIMESTAMP) AS DATE) AS race_date, race_season, name AS race_name, series, technique,
+RACES_SQL = """SELECT race_id, CAST(TRY_CAST(date AS TIMESTAMP) AS DATE) AS race_date, race_season, name AS race_name, series, technique,
   discipline, format AS race_format, division, venue, state, CAST(NULL AS VARCHAR) AS results_pdf_url_b,
   CAST(NULL AS VARCHAR) AS results_pdf_url_g, boys_results_name AS prep_results_table_b, girls_results_name AS prep_results_table_g
 FROM race_list"""
-)
+
+
+@query(RACES_SQL)
 def build_dim_races(fx: Fixtures) -> DataFrame:
     return staging.dim_races(fx.race_list)
 

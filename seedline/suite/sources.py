@@ -19,12 +19,13 @@ SECOND_LAYOUT = {"remark": "Remark", "name": "Skier Name", "time": "Elapsed", "u
 IN_FIRST = "series LIKE 'A%'"
 
 
-def write_sheets(fx: Fixtures) -> str:
+def write_sheets(fx: Fixtures, table: str = "sheet_rows") -> str:
     """Result sheets as CSV, one folder per sheet, in two layouts; returns their folder."""
+    whole = getattr(fx, table)
     root = scratch_path(fx.spark, "book") + "/sheets"
     for layout, rows in (
-        (FIRST_LAYOUT, fx.sheet_rows.filter(IN_FIRST)),
-        (SECOND_LAYOUT, fx.sheet_rows.filter(f"NOT {IN_FIRST}")),
+        (FIRST_LAYOUT, whole.filter(IN_FIRST)),
+        (SECOND_LAYOUT, whole.filter(f"NOT {IN_FIRST}")),
     ):
         columns = [F.col(c).alias(header) for c, header in layout.items()]
         rows = rows.select("sheet_name", *columns).repartition("sheet_name")
@@ -154,6 +155,15 @@ def publish_tables(fx: Fixtures) -> DataFrame:
     return published.unionByName(archived.withColumn("version", F.lit("archived")))
 
 
+@query("SELECT registration_id, race_season, is_ghost_registration, grade, school, birth_year FROM dim_registrations")
+def schema_companion(fx: Fixtures) -> DataFrame:
+    """A typed table through text and back: the types come from the companion table alone."""
+    path = scratch_path(fx.spark, "typed")
+    table = fx.dim_registrations.select("registration_id", "race_season", "is_ghost_registration", "grade", "school", "birth_year")
+    prep.write_prep_table(prep.with_descriptions(table, {"grade": "School grade, 7 to 12"}), path, f"{path}-schema")
+    return prep.read_prep_table(fx.spark, path, f"{path}-schema")
+
+
 @query(
     """SELECT registration_id, race_season, is_ghost_registration, grade, school, CAST(birth_year AS VARCHAR) || '?' AS birth_year
 FROM dim_registrations"""

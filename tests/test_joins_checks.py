@@ -52,7 +52,7 @@ def test_window_boundaries(calendar):
 
 def test_window_warnings(calendar):
     with pytest.warns(UserWarning) as seen:
-        windows.races_by_penalty_window(*calendar, warn=True)
+        windows.races_by_penalty_window(*calendar)
     texts = " ".join(str(w.message) for w in seen)
     assert "['Z']" in texts and "1 race(s)" in texts
 

@@ -74,7 +74,11 @@ def test_staging(spark, book, tmp_path):
     write_csv(root / "prep_results_one" / "part.csv", [["Name", "Race Time"], ["Ann", "10:00"]])
     write_csv(root / "prep_results_spare" / "part.csv", [["Name"], ["Unwanted"]])
     inventory = sheets.file_inventory(spark, str(root), folders=True)
-    staged, races = staging.staged_results(str(root), race_list(spark, [" prep_results_one ", "prep_results_missing", " "]), inventory)
+    with pytest.warns(UserWarning) as seen:
+        staged, races = staging.staged_results(str(root), race_list(spark, [" prep_results_one ", "prep_results_missing", " "]), inventory)
+    texts = sorted(str(w.message) for w in seen)
+    assert "1 missing sheet(s)" in texts[0] and "('r1', 'b', 'prep_results_missing')" in texts[0]
+    assert "1 orphaned sheet(s)" in texts[1] and "prep_results_spare" in texts[1]
     rows = staged.collect()
     assert [(r["name_raw"], r["race_id"], r["gender"]) for r in rows] == [("Ann", "r0", "b")]
     assert rows[0]["created_at"] is not None
@@ -84,6 +88,25 @@ def test_staging(spark, book, tmp_path):
     assert {(r["race_id"], r["name_raw"]) for r in by_file.collect()} == {("prep_results_one", "Ann"), ("prep_results_spare", "Unwanted")}
 
 
+def test_sheet_report_of_empty_lists(spark):
+    inventory = spark.createDataFrame([("prep_results_a", "f1", None), ("notes", "f2", None)], "sheet_name string, source_file_id string, modified_at timestamp")
+    none = staging.needed_sheets(staging.dim_races(race_list(spark, ["x"]).limit(0)))
+    report = staging.sheet_report(staging.resolve_sheets(none, inventory), inventory).collect()
+    assert [tuple(r) for r in report] == [("orphaned", None, None, "prep_results_a", "f1")]
+    needed = staging.needed_sheets(staging.dim_races(race_list(spark, ["a", "a"])))
+    missing = staging.sheet_report(staging.resolve_sheets(needed, inventory.limit(0)), inventory.limit(0)).collect()
+    assert sorted(r["race_id"] for r in missing) == ["r0", "r1"] and {r["problem"] for r in missing} == {"missing"}
+
+
+def test_companion_schema(spark, tmp_path):
+    table = spark.createDataFrame([("a", 9, True, 1.5, 'say "x", y'), ("b", None, False, None, None)], "k string, n bigint, b boolean, d double, t string")
+    described = prep.with_descriptions(table, {"n": "a number"})
+    prep.write_prep_table(described, str(tmp_path / "t"), str(tmp_path / "s"))
+    back = prep.read_prep_table(spark, str(tmp_path / "t"), str(tmp_path / "s"))
+    assert back.dtypes == table.dtypes and back.schema["n"].metadata == {"comment": "a number"}
+    assert sorted(map(str, back.collect())) == sorted(map(str, table.collect()))
+
+
 def test_staging_refuses_ambiguous_titles(spark, book):
     inventory = spark.createDataFrame(
         [("prep_results_one", "f1", None), ("prep_results_one", "f2", None)], "sheet_name string, source_file_id string, modified_at timestamp"

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources.sheets import SheetStore
 from . import penalties, registrations, results, slots, staging, standings, windows
 from .points import ext_results
 
@@ -22,7 +23,10 @@ METRICS = "status string, table_name string, row_count long"
 
 @dataclass
 class Inputs:
-    """``names`` and ``schools`` are spelling lookups; without ``athlete_penalties`` both models are fitted."""
+    """``names`` and ``schools`` are spelling lookups; without ``athlete_penalties`` both models are fitted.
+
+    With ``sheet_store`` a run opens only the sheets that are new or changed since the store's last read.
+    """
 
     sheets: str
     race_list: DataFrame
@@ -35,6 +39,7 @@ class Inputs:
     contribution_windows: DataFrame
     point_series: DataFrame
     athlete_penalties: DataFrame | None = None
+    sheet_store: SheetStore | None = None
 
 
 class StagedRun:
@@ -67,7 +72,7 @@ class StagedRun:
 
 def files_to_standings(run: StagedRun, given: Inputs) -> DataFrame:
     """The whole chain: staged sheets, results, registrations, penalties, points, slots, standings."""
-    staged = cache(lambda: staging.staged_results(given.sheets, given.race_list, given.inventory))
+    staged = cache(lambda: staging.staged_results(given.sheets, given.race_list, given.inventory, given.sheet_store))
     races = run.stage("dim_races", lambda: staged()[1])
     raw = run.stage("stg_results", lambda: staged()[0])
     table = run.stage("dim_results", lambda: results.dim_results(raw, races, given.names, given.schools, given.non_people))

@@ -11,7 +11,7 @@ from ..fixed_values import GENDERS, SHEET_CSV_URL, SHEET_EDIT_URL, SHEET_PREFIX
 from ..functions.text import strip
 from ..operators import checks
 from ..session import durable
-from ..sources.sheets import read_sheets
+from ..sources.sheets import SheetStore, files_of, listed_files, read_sheets
 
 OPTIONAL_RACE_COLUMNS = {
     "boys_result_sheet_url": "results_pdf_url_b",
@@ -127,8 +127,19 @@ def with_result_urls(races: DataFrame, resolved: DataFrame) -> DataFrame:
     return races.join(urls, "race_id", "left")
 
 
-def staged_results(root: str, race_list: DataFrame, inventory: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(stg_results, dim_races): every sheet a race asks for, in one read, standardised.
+def _wanted_rows(root: str, titles: DataFrame, store: SheetStore | None) -> DataFrame:
+    """Standardised rows of the sheets in ``titles`` and of no others; with a store, of new and changed files from the files."""
+    spark = titles.sparkSession
+    if store is not None:
+        return store.read(root, titles)
+    return read_sheets(spark, root, files=files_of(listed_files(spark, root), titles))
+
+
+def staged_results(
+    root: str, race_list: DataFrame, inventory: DataFrame, store: SheetStore | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(stg_results, dim_races): every sheet a race asks for, in one read, standardised. Other files are not opened,
+    and with a ``store`` neither are those that it holds unchanged.
 
     Fails when a title stands for several files or a race and gender for several sheets;
     warns of sheets that are missing and of files that no race asks for.
@@ -139,19 +150,19 @@ def staged_results(root: str, race_list: DataFrame, inventory: DataFrame) -> tup
     resolved = resolve_sheets(needed, inventory)
     checks.require_none(check_mapping(resolved), "race and gender must name exactly one sheet")
     warn_about_sheets(sheet_report(resolved, inventory))
-    sheets = read_sheets(race_list.sparkSession, root)
     wanted = resolved.filter("source_file_id IS NOT NULL").select(
         "sheet_name", "race_id", "gender", "source_file_id", "prep_results_url"
     )
     wanted = durable(wanted, "wanted-sheets")
+    sheets = _wanted_rows(root, wanted, store)
     staged = sheets.join(wanted, "sheet_name").drop("sheet_name")
     return staged.withColumn("created_at", F.current_timestamp()), with_result_urls(races, resolved)
 
 
-def staged_results_by_file(root: str, files: DataFrame) -> DataFrame:
+def staged_results_by_file(root: str, files: DataFrame, store: SheetStore | None = None) -> DataFrame:
     """Staging without a race list: the file name is the race id, and there is no gender."""
-    sheets = read_sheets(files.sparkSession, root)
     named = files.select(F.col("race_id").alias("sheet_name"), "file_id", "race_id")
+    sheets = _wanted_rows(root, named, store)
     columns = ["file_id", "race_id", *[c for c in sheets.columns if c != "sheet_name"]]
     return sheets.join(named, "sheet_name").select(*columns, F.current_timestamp().alias("created_at"))
 

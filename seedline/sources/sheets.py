@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -88,9 +91,34 @@ def standardize_columns(df: DataFrame, headers: dict[str, list[str]] = SHEET_HEA
     return columns
 
 
-def header_lines(spark: SparkSession, root: str, *, folders: bool = True) -> DataFrame:
+def listed_files(spark: SparkSession, root: str, *, folders: bool = True) -> DataFrame:
+    """Files under ``root`` as the readers name them: file, sheet_name, modified_at, length. Only the listing is read."""
+    files = _text_files(spark.read.format("binaryFile"), folders).load(root)
+    name = sheet_name_of(F.col("_metadata.file_path"), folders)
+    return files.select(
+        F.col("_metadata.file_path").alias("file"),
+        name.alias("sheet_name"),
+        F.col("modificationTime").alias("modified_at"),
+        "length",
+    )
+
+
+def files_of(files: DataFrame, titles: DataFrame) -> list[str]:
+    """Those of ``listed_files`` that belong to sheets in ``titles`` (sheet_name).
+
+    The names go to the driver, whose file index holds an entry for every file in any case.
+    """
+    return sorted(r["file"] for r in files.join(titles.select("sheet_name"), "sheet_name", "left_semi").select("file").collect())
+
+
+def _only(df: DataFrame, files: list[str] | None) -> DataFrame:
+    """Rows of the named files; the file index leaves the others out of the scan, so they are never opened."""
+    return df if files is None else df.filter(F.col("_metadata.file_path").isin(files))
+
+
+def header_lines(spark: SparkSession, root: str, *, folders: bool = True, files: list[str] | None = None) -> DataFrame:
     """The first line with text of every file: file, header. One row per file, written down once."""
-    lines = _text_files(spark.read, folders).text(root)
+    lines = _only(_text_files(spark.read, folders).text(root), files)
     lines = lines.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
@@ -113,15 +141,23 @@ def read_sheets(
     *,
     folders: bool = True,
     multi_line: bool = False,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """All sheets under ``root`` in one scan, whatever their headers: sheet_name + standard columns.
 
     The files are read by position and each row looks its file's header up to find its columns, so
-    there is neither a loop over files nor a list of files on the driver. No sheets, no rows.
+    there is no loop over files. ``files`` (see ``files_of``) leaves all others unread. No sheets, no rows.
     """
-    lines = header_lines(spark, root, folders=folders)
+    return _sheet_rows(spark, root, headers, folders, multi_line, files).drop("file")
+
+
+def _sheet_rows(
+    spark: SparkSession, root: str, headers: dict[str, list[str]], folders: bool, multi_line: bool, files: list[str] | None
+) -> DataFrame:
+    """``read_sheets`` with the file of each row."""
+    lines = header_lines(spark, root, folders=folders, files=files)
     width = lines.agg(F.max(F.size(F.split("header", ",")))).first()[0]
-    standard = T.StructType([T.StructField(c, T.StringType()) for c in ["sheet_name", *headers]])
+    standard = T.StructType([T.StructField(c, T.StringType()) for c in ["file", "sheet_name", *headers]])
     if width is None:
         return spark.createDataFrame([], standard)
     places = [f"_c{i}" for i in range(width)]
@@ -136,17 +172,71 @@ def read_sheets(
     layout = head.select("file", "sheet_name", *positions)
 
     schema = T.StructType([T.StructField(c, T.StringType()) for c in places])
-    rows = (
-        _text_files(spark.read, folders)
-        .schema(schema)
-        .csv(root, header=True, multiLine=multi_line, escape='"')
-        .withColumn("file", F.col("_metadata.file_path"))
-    )
+    scan = _text_files(spark.read, folders).schema(schema).csv(root, header=True, multiLine=multi_line, escape='"')
+    rows = _only(scan, files).withColumn("file", F.col("_metadata.file_path"))
     cells = F.array(*[F.col(c) for c in places])
     values = [
         F.nullif(F.get(cells, F.col(f"_at_{name}") - 1), F.lit("")).alias(name) for name in headers
     ]
-    return rows.join(layout, "file").select("sheet_name", *values)
+    return rows.join(layout, "file").select("file", "sheet_name", *values)
+
+
+class SheetStore:
+    """Standardised rows of sheets kept by file, time of change and length: a later read opens new and changed files only.
+
+    A read writes the rows of the files it opened as one batch and then lists those files under the batch. A batch without
+    a list, left by a read that was cut off, is never used. Rows of files that changed or are gone are left out.
+    """
+
+    SEEN = "file string, modified_at timestamp, length bigint, batch string"
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        headers: dict[str, list[str]] = SHEET_HEADERS,
+        *,
+        folders: bool = True,
+        multi_line: bool = False,
+    ) -> None:
+        self.spark, self.headers, self.folders, self.multi_line = spark, headers, folders, multi_line
+        # rows read by other rules are not these rows
+        rules = hashlib.md5(json.dumps([headers, folders, multi_line]).encode()).hexdigest()
+        self.folder = f"{folder}/{rules}"
+        spark.createDataFrame([], self.SEEN).write.mode("append").parquet(f"{self.folder}/seen")
+
+    def seen(self) -> DataFrame:
+        """Every version of a file that was read whole, and its batch."""
+        table = self.spark.read.schema(self.SEEN).parquet(f"{self.folder}/seen")
+        # two reads at once may both have read a file: one of them counts
+        return table.groupBy("file", "modified_at", "length").agg(F.max("batch").alias("batch"))
+
+    def refresh(self, root: str, titles: DataFrame | None = None) -> DataFrame:
+        """Read what is new; returns the files now standing for the sheets in ``titles`` (all without): file, batch."""
+        files = listed_files(self.spark, root, folders=self.folders)
+        if titles is not None:
+            files = files.join(titles.select("sheet_name"), "sheet_name", "left_semi")
+        files = durable(files, "listed-files")  # one listing decides what is read and what counts
+        version = ["file", "modified_at", "length"]
+        fresh = files.join(self.seen(), version, "left_anti").select(*version)
+        names = sorted(r["file"] for r in fresh.collect())
+        if names:
+            batch = uuid.uuid4().hex
+            rows = _sheet_rows(self.spark, root, self.headers, self.folders, self.multi_line, names)
+            rows.write.parquet(f"{self.folder}/rows/batch={batch}")
+            fresh = durable(fresh.withColumn("batch", F.lit(batch)), "fresh-files")
+            fresh.write.mode("append").parquet(f"{self.folder}/seen")
+        return files.join(self.seen(), version).select("file", "batch")
+
+    def read(self, root: str, titles: DataFrame | None = None) -> DataFrame:
+        """As ``read_sheets``, of the sheets in ``titles`` (all without)."""
+        current = durable(self.refresh(root, titles), "current-files")
+        columns = ["file", "sheet_name", *self.headers]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "batch"]])
+        if current.isEmpty():
+            return self.spark.createDataFrame([], schema).select("sheet_name", *self.headers)
+        rows = self.spark.read.schema(schema).parquet(f"{self.folder}/rows")
+        return rows.join(current, ["file", "batch"], "left_semi").select("sheet_name", *self.headers)
 
 
 def union_sheets(frames: list[DataFrame], schema: T.StructType) -> DataFrame:

@@ -66,6 +66,15 @@ def standardize_columns(fx: Fixtures) -> DataFrame:
     return sheets.read_sheets(fx.spark, write_sheets(fx))
 
 
+@query(STANDARD)
+def incremental_sheets(fx: Fixtures) -> DataFrame:
+    """All sheets through a store that has read those of the series A* before."""
+    root = write_sheets(fx)
+    store = sheets.SheetStore(fx.spark, scratch_path(fx.spark, "sheet-store"))
+    store.refresh(root, fx.sheet_rows.filter(IN_FIRST).select("sheet_name"))
+    return store.read(root)
+
+
 @query(STANDARD)
 def union_by_name(fx: Fixtures) -> DataFrame:
     frames = []

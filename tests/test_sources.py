@@ -1,4 +1,5 @@
 import csv
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,50 @@ def test_sheet_report_of_empty_lists(spark):
     assert sorted(r["race_id"] for r in missing) == ["r0", "r1"] and {r["problem"] for r in missing} == {"missing"}
 
 
+def test_store_opens_new_and_changed_files_only(spark, tmp_path):
+    root, header = tmp_path / "book", ["Name", "Race Time"]
+    part = {t: root / f"prep_results_{t}" / "part.csv" for t in ("old one", "changed", "gone", "unwanted")}
+    for path in part.values():
+        write_csv(path, [header, ["Ann", "10:00"]])
+    titles = spark.createDataFrame([(f"prep_results_{t}",) for t in ("old one", "changed", "gone", "new [1]+%")], "sheet_name string")
+
+    def names(rows):
+        return sorted((r["sheet_name"].removeprefix("prep_results_"), r["name_raw"]) for r in rows.collect())
+
+    store = sheets.SheetStore(spark, str(tmp_path / "store"))
+    assert names(store.read(str(root), titles)) == [("changed", "Ann"), ("gone", "Ann"), ("old one", "Ann")]
+    assert store.seen().count() == 3  # the unwanted file was not opened
+
+    # other content of the same length and time of change: it shows if the file is opened again
+    before = part["old one"].stat()
+    part["old one"].write_bytes(part["old one"].read_bytes().replace(b"Ann", b"Bob"))
+    os.utime(part["old one"], ns=(before.st_atime_ns, before.st_mtime_ns))
+    write_csv(part["changed"], [header, ["Carl", "11:00"], ["Ann", "10:00"]])
+    part["gone"].unlink()
+    write_csv(root / "prep_results_new [1]+%" / "part.csv", [["Elapsed", "Skier Name"], ["12:00", "Di"]])
+    # a read that was cut off before it listed its files leaves rows that do not count
+    spark.read.parquet(f"{store.folder}/rows").drop("batch").write.parquet(f"{store.folder}/rows/batch=cut-off")
+    again = sheets.SheetStore(spark, str(tmp_path / "store"))
+    want = [("changed", "Ann"), ("changed", "Carl"), ("new [1]+%", "Di"), ("old one", "Ann")]
+    assert names(again.read(str(root), titles)) == want
+    assert again.seen().count() == 5
+    batches = again.seen().select("batch").distinct().count()
+    assert names(again.read(str(root), titles)) == want
+    assert again.seen().select("batch").distinct().count() == batches == 2  # nothing new, nothing read
+    assert names(again.read(str(root), titles.limit(0))) == []
+
+
+def test_unwanted_sheets_are_not_in_the_scan(spark, book):
+    files = sheets.files_of(sheets.listed_files(spark, book, folders=False), spark.createDataFrame([("prep_results_two",)], "sheet_name string"))
+    assert len(files) == 1
+    rows = sheets.read_sheets(spark, book, folders=False, files=files)
+    assert [r["name_raw"] for r in rows.collect()] == ["Cy"]
+    scan = sheets._only(spark.read.text(book), files)
+    # each small file has a split of its own, so splits count the files of the scan
+    assert (scan.rdd.getNumPartitions(), spark.read.text(book).rdd.getNumPartitions()) == (1, 3)
+    assert sheets.read_sheets(spark, book, folders=False, files=[]).count() == 0
+
+
 def test_companion_schema(spark, tmp_path):
     table = spark.createDataFrame([("a", 9, True, 1.5, 'say "x", y'), ("b", None, False, None, None)], "k string, n bigint, b boolean, d double, t string")
     described = prep.with_descriptions(table, {"n": "a number"})

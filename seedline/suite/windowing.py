@@ -91,6 +91,26 @@ def sort_output(fx: Fixtures) -> DataFrame:
     return outputs.sort_output(table, "ext_races_by_penalty_window")
 
 
+@query(
+    """SELECT penalty_list_season, penalty_list_date, series, race_id, race_date, race_season,
+  row_number() OVER (ORDER BY penalty_list_season DESC NULLS LAST, penalty_list_date NULLS LAST, series NULLS LAST, race_date NULLS LAST,
+    race_id NULLS LAST) AS position
+FROM window_races""",
+    sql.WINDOWS,
+)
+def sort_output_positions(fx: Fixtures) -> DataFrame:
+    table = windows.races_by_penalty_window(fx.publications, fx.contribution_windows, fx.dim_races)
+    return outputs.with_positions(table, "ext_races_by_penalty_window")
+
+
+@query(
+    """SELECT race_season, gender, registration_id,
+  row_number() OVER (ORDER BY race_season NULLS LAST, gender NULLS LAST, registration_id NULLS LAST) AS position FROM dim_registrations"""
+)
+def sort_output_registrations(fx: Fixtures) -> DataFrame:
+    return outputs.with_positions(fx.dim_registrations.select("race_season", "gender", "registration_id"), "ext_registrations")
+
+
 @query(
     "SELECT result_id, penaltied_athlete_place_26 AS place FROM placed WHERE penaltied_athlete_count_26 >= 3 AND penaltied_athlete_place_26 <= 6",
     sql.PLACED,

@@ -163,3 +163,29 @@ def test_published_order(spark):
     rows = spark.createDataFrame([(2025, "g", "z"), (2026, "b", "y"), (2025, "b", "x"), (None, "b", "w"), (2025, "b", "a")],
                                  "race_season long, gender string, registration_id string")
     assert [r["registration_id"] for r in sort_output(rows, "ext_registrations").collect()] == ["a", "x", "z", "y", "w"]
+
+
+def test_positions_over_slices(spark):
+    import pytest
+
+    from seedline.plans.outputs import with_positions
+
+    # a third of the rows agree in season and gender; NULLs come last in every column
+    rows = [(None if i % 50 == 0 else 2020 + i % 5 if i % 3 else 2020, None if i % 7 == 0 else "bg"[i % 2], f"r{i * 7919 % 5000:04d}", i) for i in range(5000)]
+    table = spark.createDataFrame(rows, "race_season int, gender string, registration_id string, position_ int").repartition(7)
+
+    def last(v):
+        return (v is None, v or 0 if not isinstance(v, str) else v)
+
+    want = sorted(rows, key=lambda r: (last(r[0]), (r[1] is None, r[1] or ""), r[2]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several slices also here
+    try:
+        got = with_positions(table, "ext_registrations")
+        assert got.columns == [*table.columns, "position"]
+        assert {r["registration_id"]: r["position"] for r in got.collect()} == {r[2]: n for n, r in enumerate(want, 1)}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    empty = with_positions(table.limit(0), "ext_registrations")
+    assert empty.collect() == [] and empty.columns == got.columns and empty.dtypes == got.dtypes
+    with pytest.raises(ValueError, match="position"):
+        with_positions(got, "ext_registrations")

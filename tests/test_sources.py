@@ -87,6 +87,12 @@ def test_staging(spark, book, tmp_path):
     assert urls["r0"].startswith("https://") and urls["r1"] is None and urls["r2"] is None
     by_file = staging.staged_results_by_file(str(root), sheets.infra_result_files(inventory))
     assert {(r["race_id"], r["name_raw"]) for r in by_file.collect()} == {("prep_results_one", "Ann"), ("prep_results_spare", "Unwanted")}
+    store = sheets.SheetStore(spark, str(tmp_path / "store"))
+    for _ in range(2):
+        with pytest.warns(UserWarning):
+            kept, _ = staging.staged_results(str(root), race_list(spark, [" prep_results_one ", "prep_results_missing", " "]), inventory, store)
+        assert [(r["name_raw"], r["race_id"], r["gender"]) for r in kept.collect()] == [("Ann", "r0", "b")]
+        assert store.seen().count() == 1  # the spare sheet is not opened, the other one once
 
 
 def test_sheet_report_of_empty_lists(spark):

@@ -8,6 +8,10 @@ One rule for lists of any size, in one task (``solve_in_task``) or over DataFram
    ``TOLERANCE``; ``most_rounds`` of the core's size bounds them. A list that needs more is an error that names it.
 3. The eliminated nodes follow in reverse order.
 
+Where every link of a list has a hub at one end and the hubs are few (the races of a list, the winners of races), ``solve_by_hubs`` does the
+first step in one pass: the other nodes do not touch each other and leave at once, each as links between its hubs, which slices of the
+list add up on their own. Only the hubs, at most ``most_hubs``, are solved in one task.
+
 Right-hand sides have to sum to zero in every connected part. The answer is one of those that differ by a constant per
 part; ``label`` says which nodes belong together.
 """
@@ -15,12 +19,15 @@ part; ``label`` says which nodes belong together.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Observation
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import bucketed, durable, rows_per_task, scratch_path
+from ..session import bucketed, durable, rows_per_task, scratch_path, ship
 from .components import components
 
 TOLERANCE = 1e-12  # on the relative residual of the core
@@ -124,6 +131,103 @@ def solve_in_task(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int, rhs: np.n
     return x, label
 
 
+# --- over a few hubs -------------------------------------------------------------------
+
+
+SQUARE = 1 << 22  # cells of nodes by hubs that are laid out at a time
+
+
+def most_hubs(spark: SparkSession) -> int:
+    """A square of so many hubs has as many cells as four times the rows that a task may be handed (2,000 hubs by default)."""
+    return 2 * isqrt(rows_per_task(spark))
+
+
+def folded(node: np.ndarray, own: np.ndarray, hub: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, w, hubs, rhs): links between hubs and the hubs' right-hand sides once all other nodes are eliminated.
+
+    Every row says ``x_node - x_hub = y`` (a column for each right-hand side). ``own`` is the number of a node that is a hub itself, else -1.
+    """
+    hubs, place = np.unique(np.concatenate([hub, own[own >= 0]]), return_inverse=True)
+    m, h = len(hub), len(hubs)
+    other, both = place[:m], np.flatnonzero(own >= 0)
+    mine = place[m:]
+    rhs = np.stack([np.bincount(mine, c[both], h) - np.bincount(other, c, h) for c in y.T], axis=1)
+    square = np.bincount(mine * h + other[both], minlength=h * h).reshape(h, h).astype(float)
+    square += square.T
+    rest = np.flatnonzero(own < 0)
+    code = np.unique(node[rest], return_inverse=True)[1]
+    rest = rest[np.argsort(code, kind="stable")]
+    code = np.sort(code)
+    n, step = (code[-1] + 1 if len(code) else 0), max(1, SQUARE // max(h, 1))
+    for start in range(0, n, step):
+        at = slice(*np.searchsorted(code, [start, start + step]))
+        size, row, col = min(step, n - start), code[at] - start, other[rest[at]]
+        cells = np.bincount(row * h + col, minlength=size * h).reshape(size, h)
+        degree = cells.sum(axis=1)
+        shares = cells / degree[:, None]
+        square += cells.T.astype(float) @ shares
+        pull = np.stack([np.bincount(row, c[rest[at]], size) for c in y.T], axis=1)
+        rhs += shares.T @ pull
+    a, b = np.nonzero(np.triu(square, 1))
+    return hubs[a], hubs[b], square[a, b], hubs, rhs
+
+
+def solve_by_hubs(rows: DataFrame, hubs: DataFrame, keys: Sequence[str], rhs: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(keys, node, label and the answers of the hubs; the same of all other nodes). Answers are named as the columns of ``rhs``.
+
+    ``rows``: keys, node, hub and a column for each right-hand side, where every row says ``x_node - x_hub = rhs``; ``hubs``: keys, hub and n,
+    the hubs of each list with their rows. The lists have at most ``most_hubs`` hubs; a task is handed a slice of a list's nodes.
+    """
+    spark, limit, c = rows.sparkSession, rows_per_task(rows.sparkSession), len(rhs)
+    each = Window.partitionBy(*keys)
+    numbered = hubs.withColumn("_at", (F.row_number().over(each.orderBy("hub")) - 1).cast("int"))
+    numbered = durable(numbered.withColumn("_slices", F.ceil(F.sum("n").over(each) / F.lit(limit)).cast("int")).drop("n"), "hubs")
+    rows = rows.join(numbered, [*keys, "hub"])
+    selves = numbered.select(*keys, F.col("hub").alias("node"), F.col("_at").alias("_own"))
+    rows = rows.join(selves, [*keys, "node"], "left").withColumn("_own", F.coalesce("_own", F.lit(-1)))
+
+    fields = [rows.schema[k] for k in keys]
+    out = T.StructType(fields + [T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())] + [T.StructField(x, T.DoubleType()) for x in ("w", *rhs)])
+
+    def fold(key: tuple, part: pa.Table) -> pa.Table:
+        node = part["node"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        y = np.stack([part[x].to_numpy() for x in rhs], axis=1)
+        a, b, w, own, sums = folded(node, part["_own"].to_numpy(), part["_at"].to_numpy(), y)
+        n, m = len(a), len(own)
+        columns = [pa.array([k.as_py()] * (n + m), part.schema.field(name).type) for name, k in zip(keys, key)]
+        columns += [pa.array(np.concatenate([a, own]), pa.int32()), pa.array(np.concatenate([b, own]), pa.int32())]
+        columns += [pa.array(np.concatenate([w, np.zeros(m)]))] + [pa.array(np.concatenate([np.zeros(n), sums[:, k]])) for k in range(c)]
+        return pa.table(columns, names=out.names)
+
+    ship(spark)
+    narrow = rows.select(*keys, F.pmod(F.xxhash64("node"), F.col("_slices")).alias("_slice"), "node", "_own", "_at", *rhs)
+    parts = narrow.groupBy(*keys, "_slice").applyInArrow(fold, out)
+    core = parts.groupBy(*keys, "a", "b").agg(*[F.sum(x).alias(x) for x in ("w", *rhs)])
+
+    answer = T.StructType(fields + [T.StructField("_at", T.IntegerType()), T.StructField("_label", T.IntegerType())] + [T.StructField(x, T.DoubleType()) for x in rhs])
+
+    def solved(key: tuple, part: pa.Table) -> pa.Table:
+        a, b = part["a"].to_numpy(), part["b"].to_numpy()
+        own = a == b
+        n = int(a.max()) + 1
+        sums = np.zeros((n, c))
+        for k, x in enumerate(rhs):
+            sums[a[own], k] = part[x].to_numpy()[own]
+        name = "list " + ", ".join(str(k.as_py()) for k in key)
+        x, label = solve_in_task(a[~own], b[~own], part["w"].to_numpy()[~own], n, sums, name)
+        columns = [pa.array([k.as_py()] * n, part.schema.field(name).type) for name, k in zip(keys, key)]
+        columns += [pa.array(np.arange(n), pa.int32()), pa.array(label, pa.int32())] + [pa.array(x[:, k]) for k in range(c)]
+        return pa.table(columns, names=answer.names)
+
+    found = durable(core.groupBy(*keys).applyInArrow(solved, answer), "hubs-solved")
+    named = durable(numbered.drop("_slices").join(found, [*keys, "_at"]), "hubs-named")
+    known = named.select(*keys, "hub", F.col("_label").cast("string").alias("label"), *[F.col(x).alias(f"_{x}") for x in rhs])
+    rest = rows.where("_own < 0").drop("_at", "_slices", "_own").join(known, [*keys, "hub"])
+    means = [(F.sum(F.col(x) + F.col(f"_{x}")) / F.count("*")).alias(x) for x in rhs]
+    rest = rest.groupBy(*keys, "node").agg(F.min("label").alias("label"), *means)
+    return known.select(*keys, F.col("hub").alias("node"), "label", *[F.col(f"_{x}").alias(x) for x in rhs]), rest
+
+
 # --- distributed ---------------------------------------------------------------------
 
 

@@ -7,13 +7,15 @@ Two models, both with the minimum-norm answer where the data leave a choice:
 
 Both are graphs whose rows are differences of two nodes, and both are solved by ``laplacian``: the same elimination,
 stopping test and bound on rounds whether a group fits ``seedline.rowsPerTask`` and is solved in one task (all such
-groups in parallel, one shuffle) or is larger and solved over DataFrames, where no task ever holds a group. No design matrix
-is formed on either route.
+groups in parallel, one shuffle) or is larger, where no task ever holds a group. A larger group is eliminated down to its hubs (races, or
+winners) slice by slice in one pass where these are few enough for a task, and otherwise solved over DataFrames. No design matrix
+is formed on any route.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import durable, rows_per_task, ship
-from .laplacian import solve, solve_in_task
+from .laplacian import most_hubs, solve, solve_by_hubs, solve_in_task
 
 LEVELLED = 1e-16  # share of ones that may be left over where all differences are steps between levels
 BROADCAST_GROUPS = 100_000
@@ -34,25 +36,39 @@ BROADCAST_GROUPS = 100_000
 def fit_by_size(
     rows: DataFrame,
     keys: list[str],
+    hub: str,
     in_task: Callable[[DataFrame], DataFrame],
+    by_hubs: Callable[[DataFrame, DataFrame], DataFrame],
     distributed: Callable[[DataFrame, bool], DataFrame],
 ) -> DataFrame:
-    """Send each group to the route that fits its row count.
+    """Send each group to the route that fits its row count and its number of hubs.
 
-    The distributed route is told whether its groups are few enough to broadcast a row for each.
+    The rows are read once for both. The distributed route is told whether its groups are few enough to broadcast a row for each.
     """
-    limit = rows_per_task(rows.sparkSession)
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    oversized = sizes.filter(F.col("n") > limit)
-    n_groups, n_big = sizes.agg(F.count(F.lit(1)), F.count(F.when(F.col("n") > limit, 1))).first()
-    if n_big == 0:
-        return in_task(rows)
-    few = n_big <= BROADCAST_GROUPS  # at most (rows / limit) groups are oversized
-    if n_big == n_groups:
-        return distributed(rows, few)
-    big = F.broadcast(oversized.select(*keys)) if few else oversized.select(*keys)
-    small_fit = in_task(rows.join(big, keys, "left_anti"))
-    return small_fit.unionByName(distributed(rows.join(big, keys, "left_semi"), few))
+    spark = rows.sparkSession
+    limit, most = rows_per_task(spark), most_hubs(spark)
+    hubs = durable(rows.groupBy(*keys, F.col(hub).alias("hub")).agg(F.count(F.lit(1)).alias("n")), "hub-sizes")
+    sizes = hubs.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("hubs"))
+    route = F.when(F.col("n") <= limit, "task").when(F.col("hubs") <= most, "hubs").otherwise("distributed")
+    sizes = durable(sizes.select(*keys, route.alias("route")), "routes")
+    counts = {r["route"]: r["count"] for r in sizes.groupBy("route").count().collect()}
+
+    def part(name: str) -> DataFrame:
+        if len(counts) <= 1:
+            return rows
+        mine = sizes.where(F.col("route") == name if name != "task" else F.col("route") != name).select(*keys)
+        # one row per group above the limit, which are few as a rule; otherwise the measured size decides
+        few = sum(n for other, n in counts.items() if other != "task") <= BROADCAST_GROUPS
+        return rows.join(F.broadcast(mine) if few else mine, keys, "left_anti" if name == "task" else "left_semi")
+
+    fits = []
+    if "task" in counts or not counts:
+        fits.append(in_task(part("task")))
+    if "hubs" in counts:
+        fits.append(by_hubs(part("hubs"), hubs.join(sizes.where("route = 'hubs'").select(*keys), keys, "left_semi")))
+    if "distributed" in counts:
+        fits.append(distributed(part("distributed"), counts["distributed"] <= BROADCAST_GROUPS))
+    return reduce(DataFrame.unionByName, fits)
 
 
 # --- in one task -------------------------------------------------------------------
@@ -148,6 +164,31 @@ def winner_differences_in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*columns).groupBy(*keys).applyInPandas(solve, schema)
 
 
+# --- over the hubs ---------------------------------------------------------------------
+
+
+def race_effects_by_hubs(rows: DataFrame, hubs: DataFrame, keys: list[str]) -> DataFrame:
+    """The races are the hubs, a race's node being its effect with the sign turned."""
+    athlete = F.concat(F.lit("a"), "athlete_id")  # an athlete is never a race, also under the same id
+    race = F.concat(F.lit("r"), "race_id")
+    links = rows.select(*keys, athlete.alias("node"), race.alias("hub"), F.col("y").alias("x"))
+    races, athletes = solve_by_hubs(links, hubs.withColumn("hub", F.concat(F.lit("r"), "hub")), keys, ["x"])
+    return centre_components(_race_and_athlete(races.unionByName(athletes), keys), keys)
+
+
+def winner_differences_by_hubs(rows: DataFrame, hubs: DataFrame, keys: list[str]) -> DataFrame:
+    """The winners are the hubs; a winner may stand behind another one."""
+    ids = {"athlete_id": "node", "reference_athlete_id": "hub"}
+    links = rows.select(*keys, *ids, F.col("y").alias("by_time"), F.lit(1.0).alias("by_one")).withColumnsRenamed(ids)
+    winners, others = solve_by_hubs(links, hubs, keys, ["by_time", "by_one"])
+    solved = _centred_parts(durable(winners.unionByName(others), "winners-solved"), keys)
+    ones = solved.select(*keys, "node", F.col("by_one").alias("own"))
+    fast = durable(ones.join(winners.select(*keys, "node"), [*keys, "node"], "left_semi"), "winners-ones")
+    pairs = links.select(*keys, "node", F.col("hub").alias("other"), F.col("by_time").alias("y"), F.lit(1.0).alias("w"))
+    met = pairs.join(fast.select(*keys, F.col("node").alias("other"), F.col("own").alias("others")), [*keys, "other"]).join(ones, [*keys, "node"])
+    return _with_intercept(met, solved, keys, few=False)
+
+
 # --- distributed ---------------------------------------------------------------------
 
 
@@ -163,12 +204,15 @@ def race_effects_distributed(rows: DataFrame, keys: list[str], few: bool) -> Dat
     cells = durable(cells, "cells")
     ends = [cells.groupBy(*keys, F.col(end).alias("node")).agg((sign * F.sum("y")).alias("x")) for end, sign in (("node", F.lit(1.0)), ("other", F.lit(-1.0)))]
     solved = solve(cells.drop("y"), ends[0].unionByName(ends[1]), keys, ["x"])
+    return centre_components(_race_and_athlete(solved, keys), keys)
+
+
+def _race_and_athlete(solved: DataFrame, keys: list[str]) -> DataFrame:
     is_athlete = F.left("node", F.lit(1)) == "a"
-    effects = solved.select(
+    return solved.select(
         *keys, "label", F.when(is_athlete, "athlete").otherwise("race").alias("kind"), F.substr(F.col("node"), F.lit(2)).alias("node"),
         F.when(is_athlete, F.col("x")).otherwise(-F.col("x")).alias("x"),
     )
-    return centre_components(effects, keys)
 
 
 def centre_components(effects: DataFrame, keys: list[str]) -> DataFrame:
@@ -213,13 +257,22 @@ def winner_differences_distributed(rows: DataFrame, keys: list[str], few: bool)
     ]
     nodes = ends[0].unionByName(ends[1]).groupBy(*keys, "node").agg(F.sum("by_time").alias("by_time"), F.sum("by_one").alias("by_one"))
     solved = durable(solve(pairs.drop("y"), nodes, keys, ["by_time", "by_one"]), "pairs-solved")
+    solved = _centred_parts(solved, keys)
+    one = solved.select(*keys, "node", F.col("by_one").alias("own"))
+    met = pairs.join(one, [*keys, "node"]).join(one.select(*keys, F.col("node").alias("other"), F.col("own").alias("others")), [*keys, "other"])
+    return _with_intercept(met, solved, keys, few)
+
+
+def _centred_parts(solved: DataFrame, keys: list[str]) -> DataFrame:
     means = solved.groupBy(*keys, "label").agg(F.avg("by_time").alias("mean_time"), F.avg("by_one").alias("mean_one"))
     solved = solved.join(durable(means, "part-means"), [*keys, "label"]).select(
         *keys, "node", (F.col("by_time") - F.col("mean_time")).alias("by_time"), (F.col("by_one") - F.col("mean_one")).alias("by_one")
     )
-    solved = durable(solved, "parts-centred")
-    one = solved.select(*keys, "node", F.col("by_one").alias("own"))
-    met = pairs.join(one, [*keys, "node"]).join(one.select(*keys, F.col("node").alias("other"), F.col("own").alias("others")), [*keys, "other"])
+    return durable(solved, "parts-centred")
+
+
+def _with_intercept(met: DataFrame, solved: DataFrame, keys: list[str], few: bool) -> DataFrame:
+    """``met``: the differences (y, w) with ``by_one`` of both ends (own, others)."""
     left = F.lit(1.0) - (F.col("own") - F.col("others"))
     over = met.groupBy(*keys).agg(F.sum(left * F.col("y")).alias("ly"), F.sum(left * F.col("w")).alias("l"), F.sum(left * left * F.col("w")).alias("ll"), F.sum("w").alias("m"))
     norms = solved.groupBy(*keys).agg(F.sum(F.col("by_one") * F.col("by_time")).alias("ot"), F.sum(F.col("by_one") ** 2).alias("oo"), F.count("*").alias("n"))
@@ -238,7 +291,9 @@ def fit_race_effects(rows: DataFrame, keys: list[str]) -> DataFrame:
     return fit_by_size(
         rows,
         keys,
+        "race_id",
         lambda part: race_effects_in_tasks(part, keys),
+        lambda part, hubs: race_effects_by_hubs(part, hubs, keys),
         lambda part, few: race_effects_distributed(part, keys, few),
     )
 
@@ -251,6 +306,8 @@ def fit_winner_differences(rows: DataFrame, keys: list[str]) -> DataFrame:
     return fit_by_size(
         rows,
         keys,
+        "reference_athlete_id",
         lambda part: winner_differences_in_tasks(part, keys),
+        lambda part, hubs: winner_differences_by_hubs(part, hubs, keys),
         lambda part, few: winner_differences_distributed(part, keys, few),
     )

@@ -164,3 +164,27 @@ def test_winner_differences(spark, route):
         want = dense_winner_effects(frame)
         assert mine.keys() == want.keys()
         assert max(abs(mine[k] - want[k]) for k in want) < 1e-7
+
+
+@pytest.mark.parametrize("square", [1 << 22, 60])
+def test_large_lists_with_few_hubs_are_eliminated_slice_by_slice(spark, monkeypatch, square):
+    """Above the limit of a task, with few races or winners, no round of the distributed solver runs and the answers are the same."""
+    monkeypatch.setattr(laplacian, "SQUARE", square)
+    monkeypatch.setattr(laplacian, "_eliminated", None)
+    spark.conf.set("seedline.rowsPerTask", "100")
+    try:
+        frames = [race_frame(21, n_athletes=60), race_frame(22, parts=2, n_races=8, n_athletes=40, density=0.3), race_frame(23, n_races=5)]
+        frames[0] = pd.concat([frames[0], frames[0].head(30).assign(y=lambda f: f.y + 0.1)])  # the same athlete and race twice
+        got = fit_race_effects(spark.createDataFrame(pd.concat(frames)), KEYS).toPandas()
+        for frame in frames:
+            mine, want = got[got.grp == frame.grp.iloc[0]], dense_race_effects(frame)
+            mine = dict(zip(mine.kind + ":" + mine.node, mine.effect))
+            assert mine.keys() == want.keys() and max(abs(mine[k] - want[k]) for k in want) < 1e-7
+        frames = [winner_rows(race_frame(24, n_athletes=60)), winner_rows(race_frame(25, parts=2, n_races=8, n_athletes=40)), winner_rows(race_frame(26, n_races=1, n_athletes=300))]
+        got = fit_winner_differences(spark.createDataFrame(pd.concat(frames)), KEYS).toPandas()
+        for frame in frames:
+            mine, want = got[got.grp == frame.grp.iloc[0]], dense_winner_effects(frame)
+            mine = dict(zip(mine.athlete_id, mine.effect))
+            assert mine.keys() == want.keys() and max(abs(mine[k] - want[k]) for k in want) < 1e-7
+    finally:
+        spark.conf.unset("seedline.rowsPerTask")

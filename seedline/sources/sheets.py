@@ -108,7 +108,7 @@ def files_of(files: DataFrame, titles: DataFrame) -> list[str]:
 
     The names go to the driver, whose file index holds an entry for every file in any case.
     """
-    return sorted(r["file"] for r in files.join(titles.select("sheet_name"), "sheet_name", "left_semi").select("file").collect())
+    return sorted(r["file"] for r in files.join(titles.select("sheet_name").distinct(), "sheet_name", "left_semi").select("file").collect())
 
 
 def _only(df: DataFrame, files: list[str] | None) -> DataFrame:
@@ -215,7 +215,7 @@ class SheetStore:
         """Read what is new; returns the files now standing for the sheets in ``titles`` (all without): file, batch."""
         files = listed_files(self.spark, root, folders=self.folders)
         if titles is not None:
-            files = files.join(titles.select("sheet_name"), "sheet_name", "left_semi")
+            files = files.join(titles.select("sheet_name").distinct(), "sheet_name", "left_semi")
         files = durable(files, "listed-files")  # one listing decides what is read and what counts
         version = ["file", "modified_at", "length"]
         fresh = files.join(self.seen(), version, "left_anti").select(*version)

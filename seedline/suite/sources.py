@@ -28,7 +28,9 @@ def write_sheets(fx: Fixtures, table: str = "sheet_rows") -> str:
         (SECOND_LAYOUT, whole.filter(f"NOT {IN_FIRST}")),
     ):
         columns = [F.col(c).alias(header) for c, header in layout.items()]
-        rows = rows.select("sheet_name", *columns).repartition("sheet_name")
+        # by range and into a fixed number: two large sheets do not meet in a task, and a sheet stays one file
+        tasks = int(fx.spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.select("sheet_name", *columns).repartitionByRange(tasks, "sheet_name")
         rows.write.mode("append").partitionBy("sheet_name").csv(root, header=True, escape='"')
     return root
 

@@ -23,16 +23,32 @@ from pyspark.sql import functions as F
 from ..session import durable, rows_per_task
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the biggest group. Partial aggregation; one number reaches the driver."""
+DEALT_ROWS = 100_000  # of wide rows that several windows hold at once
+
+
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows in the biggest group and in all. Partial aggregation; two numbers reach the driver."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    most, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return most or 0, total or 0
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    return group_sizes(df, keys)[0]
 
 
 def is_hot(df: DataFrame, keys: Sequence[str]) -> bool:
     return largest_group(df, keys) > rows_per_task(df.sparkSession)
 
 
+def dealt(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt by ``keys`` to as many tasks as give each about ``DEALT_ROWS``, at least one for each core.
+
+    What the windows of a task hold then does not grow with the table, but for a group that is larger than that by itself."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // DEALT_ROWS))
+    return df.repartition(tasks, *keys)
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on ``keys`` treating NULL as a value, keeping the left key columns."""
     renamed = right.select(

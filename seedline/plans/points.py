@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,9 +17,9 @@ from ..fixed_values import (
     VINTAGES,
 )
 from ..functions.numbers import mean_ln, race_points, round2
-from ..operators.groups import is_hot, with_group_stats, with_rank
+from ..operators.groups import dealt, group_sizes, is_hot, null_safe_join, with_group_stats, with_rank
 from ..operators.joins import latest_on_or_before
-from ..session import durable
+from ..session import durable, rows_per_task
 
 RACE = ["race_id", "gender"]
 ATHLETE_SEASON = ["race_season", "athlete_id"]
@@ -96,6 +97,34 @@ def podium_logs() -> dict[str, Column]:
     return stats
 
 
+def race_stats(results: DataFrame, *, spread: bool) -> DataFrame:
+    """Per race and gender: penaltied finishers and mean logs over the podium of each vintage; one small row each.
+
+    ``results`` is read three times: pass a table. Only the podium of a race meets in a task, as Spark drops all others before the shuffle.
+    """
+    flags = {v: F.col(f"is_penaltied_athlete_finish_{v}") for v in VINTAGES}
+    rows = results.select(*RACE, "time_float", *[c for v in VINTAGES for c in (f"athlete_penalty_{v}", f"is_penaltied_athlete_finish_{v}")])
+    rows = rows.filter(reduce(lambda a, b: a | b, flags.values()))
+    counted = rows.groupBy(*RACE).agg(*[F.count(F.when(flags[v], 1)).alias(f"penaltied_athlete_count_{v}") for v in VINTAGES])
+    podiums = []
+    for v in VINTAGES:
+        place = f"penaltied_athlete_place_{v}"
+        placed = with_rank(rows.filter(flags[v]), RACE, "time_float", place, spread=spread)
+        placed = placed.filter(F.col(place) <= PODIUM_SIZE[v])
+        podiums.append(placed.select(*RACE, F.lit(v).alias("_vintage"), F.col(f"athlete_penalty_{v}").alias("_penalty"), "time_float"))
+    logs = []
+    for v in VINTAGES:
+        own = F.col("_vintage") == v
+        logs.append(mean_ln(F.when(own, F.col("_penalty"))).alias(f"race_penalty_{v}"))
+        logs.append(mean_ln(F.when(own, F.col("time_float"))).alias(f"race_penalty_time_{v}"))
+    podium = reduce(DataFrame.unionByName, podiums).groupBy(*RACE).agg(*logs)
+    stats = null_safe_join(durable(counted, "race-counts"), podium, RACE)
+    for v in VINTAGES:
+        enough = F.col(f"penaltied_athlete_count_{v}") >= MIN_PENALTIED_FINISHERS
+        stats = stats.withColumns({c: F.when(enough, F.col(c)) for c in (f"race_penalty_{v}", f"race_penalty_time_{v}")})
+    return durable(stats, "race-stats")
+
+
 def geometric_means(rows: DataFrame, known: Column | None = None) -> DataFrame:
     """Mean logs to race penalty (two decimals) and race penalty time, where ``known``."""
     columns = {}
@@ -271,18 +300,25 @@ def ext_results(
     results: DataFrame,
     races: DataFrame,
     registrations: DataFrame,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per result with points, ranks and the reason for missing points."""
+    """One row per result with points, ranks and the reason for missing points. ``columns``: those that are read, all by default; rows
+    are dealt anew only for places and ranks that are."""
+    read = set(columns or [*RESULT_COLUMNS, *POINT_COLUMNS])
+    places_read, ranks_read = (any(c.startswith(start) for c in read) for start in ("penaltied_athlete_place_", "race_rank_"))
     wanted = ["result_id", *RACE, "athlete_id", "race_season", "athlete_name", "time", "time_float"]
     results = results.select(*wanted, "finish_place", "race_date")
-    hot_race, hot_athlete = is_hot(results, RACE), is_hot(results, ATHLETE_SEASON)
+    largest_race, total = group_sizes(results, RACE)
+    hot_race, hot_athlete = largest_race > rows_per_task(results.sparkSession), is_hot(results, ATHLETE_SEASON)
 
     rows = results_with_penalties(results, penalties, registrations)
-    if hot_race:
-        rows = durable(rows, "results-with-penalties")  # read several times below
-    rows = with_penaltied_counts(rows, spread=hot_race)
+    rows = durable(rows, "results-with-penalties")  # read for the statistics of the races and again for the rows
+    rows = null_safe_join(rows, race_stats(rows, spread=hot_race), RACE)
+    counts = [f"penaltied_athlete_count_{v}" for v in VINTAGES]
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+    if places_read and not hot_race:
+        rows = dealt(rows, RACE, total)
     rows = with_penaltied_places(rows, spread=hot_race)
-    rows = with_group_stats(rows, RACE, podium_logs(), spread=hot_race)
 
     meta = races.select(
         "race_id", F.col("race_season").alias("_list_season"), *RACE_COLUMNS, F.lit(True).alias("_listed")
@@ -293,13 +329,14 @@ def ext_results(
     listed = F.col("gender").isin(GENDERS) & F.col("_listed")
     rows = rows.withColumn("_list_season", F.when(listed, F.col("_list_season")))
     rows = with_points(geometric_means(rows, listed))
-    if hot_athlete:
-        rows = durable(rows, "results-with-points")
+    if ranks_read:
+        rows = durable(rows, "results-with-points") if hot_athlete else dealt(rows, ATHLETE_SEASON, total)
     rows = with_season_ranks(rows, spread=hot_athlete)
-    return rows.select(
+    rows = rows.select(
         *RESULT_COLUMNS,
         *RACE_COLUMNS,
         *POINT_COLUMNS,
         points_text().alias("ma_points_2026_str"),
         reason_for_no_points().alias("reason_for_no_points"),
     )
+    return rows.select(*columns) if columns else rows

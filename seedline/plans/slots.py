@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from ..fixed_values import OTHER_SLOTS, QUALIFIER_SERIES, QUALIFIER_SLOT, TECHNIQUES, VINTAGES
 
 SLOT_KEY = ["registration_id", "technique"]
+# what the slots read of the points table
+READ = [
+    "result_id",
+    *SLOT_KEY,
+    "athlete_name",
+    "race_season",
+    "race_name",
+    "series",
+    "is_registered_finish",
+    *[f"{c}_{v}" for v in VINTAGES for c in ("race_penalty", "race_points")],
+]
 
 
 def points_results(results: DataFrame) -> DataFrame:

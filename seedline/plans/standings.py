@@ -10,7 +10,7 @@ from ..functions.numbers import compensated_sum, round2
 from ..operators.groups import is_hot, with_rank
 from ..session import durable
 from .points import ext_results
-from .slots import points_contributing_results
+from .slots import READ, points_contributing_results
 
 PLACES = {"ehsc_qualifying_place": "is_ehs_eligible", "u16c_qualifying_place": "is_u16c_eligible"}
 
@@ -88,7 +88,7 @@ def season_standings(
 ) -> DataFrame:
     """From results and penalties to the standings.
 
-    The points table is written once in between, as it is read four times after that.
+    What the slots read of the points table is written once in between, as it is read four times after that.
     """
-    scored = durable(ext_results(contributions, penalties, results, races, registrations), "ext-results")
+    scored = durable(ext_results(contributions, penalties, results, races, registrations, READ), "ext-results")
     return ext_registrations(points_contributing_results(scored, registrations), registrations)

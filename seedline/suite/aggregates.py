@@ -58,7 +58,7 @@ FROM maq_25 a JOIN maq_26 b ON b.registration_id = a.registration_id AND b.techn
     sql.SLOTS,
 )
 def agg_maq_first(fx: Fixtures) -> DataFrame:
-    table = slots.qualifier_results(slots.points_results(scored(fx)))
+    table = slots.qualifier_results(slots.points_results(scored(fx, *slots.READ)))
     chosen = [
         F.col(f"maq_{v}")[field].alias(f"{name}_{v}")
         for v in sql.VINTAGES
@@ -73,7 +73,7 @@ def agg_maq_first(fx: Fixtures) -> DataFrame:
     sql.POINTS,
 )
 def agg_group_by_all(fx: Fixtures) -> DataFrame:
-    return slots.scored_techniques(scored(fx))
+    return slots.scored_techniques(scored(fx, *slots.READ))
 
 
 @query(

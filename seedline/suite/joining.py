@@ -188,7 +188,7 @@ def join_slots(fx: Fixtures) -> DataFrame:
     sql.SLOTS.rsplit(", contributing AS", 1)[0],
 )
 def join_maq(fx: Fixtures) -> DataFrame:
-    rows = slots.points_results(scored(fx))
+    rows = slots.points_results(scored(fx, *slots.READ))
     table = slots.qualifier_slots(fx.dim_registrations, slots.qualifier_results(rows))
     kinds = [f"{c}_{v}" for v in sql.VINTAGES for c in ("contributing_race_name", "maq_points")]
     return table.select("registration_id", "technique", "athlete_name", "race_season", *kinds)

@@ -131,7 +131,7 @@ def slot_flags(fx: Fixtures) -> DataFrame:
 
 @query("SELECT result_id, series <> 'MAQ' AS is_not_maq, race_points_25, race_points_26 FROM eligible", sql.SLOTS)
 def points_row_filter(fx: Fixtures) -> DataFrame:
-    rows = slots.points_results(scored(fx))
+    rows = slots.points_results(scored(fx, *slots.READ))
     return rows.select("result_id", "is_not_maq", "race_points_25", "race_points_26")
 
 
@@ -175,9 +175,9 @@ def compression_factor(fx: Fixtures) -> DataFrame:
 
 @query(f"SELECT result_id, {sql.REASON} AS reason_for_no_points FROM scored", sql.POINTS)
 def reason_for_no_points(fx: Fixtures) -> DataFrame:
-    return scored(fx).select("result_id", "reason_for_no_points")
+    return scored(fx, "result_id", "reason_for_no_points")
 
 
 @query(f"SELECT result_id, {sql.POINTS_TEXT} AS ma_points_2026_str FROM scored", sql.POINTS)
 def points_string(fx: Fixtures) -> DataFrame:
-    return scored(fx).select("result_id", "ma_points_2026_str")
+    return scored(fx, "result_id", "ma_points_2026_str")

@@ -166,15 +166,16 @@ def _model_base(fx: Fixtures) -> DataFrame:
     return penalties.registered_window_results(fx.dim_registrations, fx.dim_results, races)
 
 
-def scored(fx: Fixtures) -> DataFrame:
+def scored(fx: Fixtures, *columns: str) -> DataFrame:
+    """The points table, or the ``columns`` of it that are read."""
     return points.ext_results(
-        fx.point_series, fx.stand_in_penalties, fx.dim_results, fx.dim_races, fx.dim_registrations
+        fx.point_series, fx.stand_in_penalties, fx.dim_results, fx.dim_races, fx.dim_registrations, columns
     )
 
 
 def scored_table(fx: Fixtures) -> DataFrame:
-    """The points as a written table, for what reads them more than once."""
-    return durable(scored(fx), "ext-results")
+    """The points as a written table, with the columns that are read more than once."""
+    return durable(scored(fx, *slots.READ), "ext-results")
 
 
 def contributing(fx: Fixtures) -> DataFrame:
@@ -188,12 +189,13 @@ def contributing(fx: Fixtures) -> DataFrame:
     sql.POINTS.rsplit(", scored AS", 1)[0],
 )
 def fn_time_ratio(fx: Fixtures) -> DataFrame:
-    return scored(fx).select("result_id", *[rounded(f"ma_time_penalty_ratio_{v}", 9) for v in sql.VINTAGES])
+    ratios = [f"ma_time_penalty_ratio_{v}" for v in sql.VINTAGES]
+    return scored(fx, "result_id", *ratios).select("result_id", *[rounded(c, 9) for c in ratios])
 
 
 @query("SELECT result_id, race_points_25, race_points_26 FROM scored", sql.POINTS)
 def fn_race_points(fx: Fixtures) -> DataFrame:
-    return scored(fx).select("result_id", "race_points_25", "race_points_26")
+    return scored(fx, "result_id", "race_points_25", "race_points_26")
 
 
 @query(

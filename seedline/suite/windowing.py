@@ -33,7 +33,7 @@ def win_penaltied_place(fx: Fixtures) -> DataFrame:
 @query(f"SELECT result_id, {sql.SEASON_RANKS} FROM scored", sql.POINTS)
 def win_season_rank(fx: Fixtures) -> DataFrame:
     ranks = [f"race_rank_{kind}athlete_season_{v}" for v in sql.VINTAGES for kind in ("by_", "per_technique_by_")]
-    return scored(fx).select("result_id", *ranks)
+    return scored(fx, "result_id", *ranks)
 
 
 @query("SELECT registration_id, technique, race_name, points, rk FROM best_26", sql.SLOTS)

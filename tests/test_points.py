@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from seedline.operators import groups
 from seedline.plans import points, slots, standings
 
 DAY = date(2026, 1, 10)
@@ -189,3 +190,19 @@ def test_positions_over_slices(spark):
     assert empty.collect() == [] and empty.columns == got.columns and empty.dtypes == got.dtypes
     with pytest.raises(ValueError, match="position"):
         with_positions(got, "ext_registrations")
+
+
+def test_points_alone_need_no_window_over_the_results(season):
+    """Places and season ranks that nobody reads are not computed, and no task is handed a race's rows for the points."""
+    rows = points.ext_results(*season, columns=["result_id", "race_points_26"])
+    assert rows.columns == ["result_id", "race_points_26"]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "RepartitionByExpression" not in plan
+
+
+def test_rows_of_ranks_are_dealt_by_their_number(spark, season, table, monkeypatch):
+    """Tasks follow from the rows, whatever spark.sql.shuffle.partitions says; the ranks stay."""
+    monkeypatch.setattr(groups, "DEALT_ROWS", 2)
+    rows = points.ext_results(*season)
+    assert rows.rdd.getNumPartitions() == -(-season[2].count() // 2)
+    assert {r["result_id"]: r for r in rows.collect()} == table[1]

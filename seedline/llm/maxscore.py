@@ -1,16 +1,19 @@
 """Exact top k by inner product with MaxScore over sharded postings.
 
-A vector's components, as integers, are term weights: the terms are dimensions, and each has a posting list
-for positive and one for negative weights. A query's term can add at most its weight times the largest weight of
-the same sign in the shard; that is the term's bound. Terms are put in order of their bounds, and those whose
-bounds together stay below the score to beat are non-essential: a vector that is only in their lists cannot
-win. Lists of the other, essential, terms are traversed, and the vectors found there are probed term by term while
-their score plus the bounds of what is left can still reach the score to beat. Each shard gives its k best; a
-window over at most k rows per shard and query merges them.
-
-Vectors are dealt to shards of about ``SHARD_VECTORS`` by hash. Each shard is packed into one row, queries into
-blocks of ``QUERY_BLOCK``; every block meets every shard. Scores are exact 64-bit integers; a table whose
-products could leave them is an error.
+A vector's components, as integers, are term weights: the terms are dimensions, and a term's posting list holds the
+shard's weights of it, in stretches of vectors that each know their largest weight of either sign. A query's term can
+add at most its weight times the largest weight of the same sign in the stretch; that is the term's bound. Terms are
+put in order of their bounds, and those whose bounds together stay below the score to beat are non-essential: a vector
+cannot win by them alone, and where no term is essential the stretch is passed over. The essential lists are traversed, for many
+queries at once, as one matrix product; the vectors whose score plus the bounds of what is left can still reach the
+score to beat are probed for the other terms, one by one where they are few, else as a second product. The score to beat, a query's k-th best so far,
+is carried from stretch to stretch and from shard to shard; a window over at most k rows per task and query merges the tasks.
+
+Vectors are dealt by hash to shards of at most about ``SHARD_VECTORS`` and ``SHARD_BYTES``, queries to blocks of at
+most about ``QUERY_BLOCK`` and ``BLOCK_BYTES``; each shard and block is one packed row, in the narrowest integers that hold the
+weights. Every block meets every shard in a product of partitions: a task reads a few blocks and about ``TASK_BYTES`` of
+shards, and no meeting is written down, shuffled or sent through the driver. Scores are exact: a product runs in
+float32, float64 or int64, whichever holds all sums of these vectors; a table whose products could leave 64 bits is an error.
 
 Vectors that are null or hold null or non-finite components take no part. Missing components of shorter
 vectors are zero. Rows without id take no part, rows equal in id and vector count once. Ties go to the
@@ -27,13 +30,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable, ship
+from .hard_negatives import _matrix, best
 
 K = 5
 QUERY_EVERY = 50
 SCALE = 256
-SHARD_VECTORS = 8192
-QUERY_BLOCK = 256
-SEEDS = 64  # vectors scored first, to have a score to beat
+SHARD_VECTORS, SHARD_BYTES = 8192, 4 << 20
+QUERY_BLOCK, BLOCK_BYTES = 1024, 1 << 20
+TASK_BYTES = 16 << 20  # of shards in a task
+TASKS = 4096  # from here on tasks take more blocks instead of being more
+STRETCH, AT_ONCE = 4096, 256  # vectors with bounds of their own, queries that meet them at once
+PROBED = 32  # one vector in so many, or fewer, is probed by itself
+NONE, LAST = -(2**62), 2**63 - 1  # the score and id of a place that is still free
 
 
 def quantised(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -45,62 +53,103 @@ def quantised(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding"
 
 
 class Postings:
-    """One shard: the weights by term, with the vectors of positive and negative weight of each."""
+    """One shard in the order of its ids: stretches of (ids, weights by term, largest and smallest weight by term)."""
 
-    def __init__(self, ids: np.ndarray, weights: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, weights: np.ndarray, kind: str) -> None:
         order = np.argsort(ids, kind="stable")  # so that of equal scores the first found has the smaller id
-        self.ids, self.terms = ids[order], np.ascontiguousarray(weights[order].T)
-        self.highest, self.lowest = self.terms.max(axis=1, initial=0), self.terms.min(axis=1, initial=0)
-        self.lists = [(np.flatnonzero(t > 0), np.flatnonzero(t < 0)) for t in self.terms]
-
-    def top(self, query_id: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """The k best (vector, score), best first."""
-        bounds = np.maximum(query * self.highest, query * self.lowest)
-        by_bound = np.argsort(-bounds, kind="stable")
-        left = np.concatenate([np.cumsum(bounds[by_bound][::-1])[::-1], [0]])  # bound of the terms from each place on
-
-        # a score to beat: the k-th best of the vectors with most of the heaviest terms
-        heavy = by_bound[:4]
-        guess = (query[heavy, None] * self.terms[heavy]).sum(axis=0)
-        seeds = np.argpartition(-guess, min(SEEDS + k, len(guess) - 1))[: SEEDS + k] if len(guess) else np.empty(0, int)
-        seeds = seeds[self.ids[seeds] != query_id]
-        seen = np.sort((query[:, None] * self.terms[:, seeds]).sum(axis=0))
-        to_beat = int(seen[-k]) if len(seen) >= k else None
-
-        if to_beat is None or to_beat <= 0:  # vectors outside all lists can still be among the best
-            found = np.arange(len(self.ids))
+        ids, terms = ids[order], np.ascontiguousarray(weights[order].T)
+        self.stretches = []
+        for start in range(0, len(ids), STRETCH):
+            part = terms[:, start : start + STRETCH]
+            highest, lowest = (x.astype(np.int64) for x in (part.max(axis=1, initial=0), part.min(axis=1, initial=0)))
+            self.stretches.append((ids[start : start + STRETCH], part.astype(kind), highest, lowest))
+
+
+def _exactly(score: np.ndarray, kind: str) -> np.ndarray:
+    """Limits of scores in the kind of the scores, which are all smaller than the ones cut off here."""
+    most = {"f4": 2**24, "f8": 2**53}.get(kind)
+    return score if most is None else np.clip(score, -most, most).astype(kind)
+
+
+class Search:
+    """A block of queries and the k best (score, vector) of each so far, best first."""
+
+    def __init__(self, ids: np.ndarray, weights: np.ndarray, kind: str, k: int) -> None:
+        self.query_ids, self.queries, self.kind, self.k = ids, weights.astype(np.int64), kind, k
+        self.scores, self.ids = np.full((len(ids), k), NONE), np.full((len(ids), k), LAST)
+
+    def meet(self, shard: Postings) -> None:
+        for stretch in shard.stretches:
+            for start in range(0, len(self.query_ids), AT_ONCE):
+                self._meet(np.arange(start, min(start + AT_ONCE, len(self.query_ids))), *stretch)
+
+    def _meet(self, at: np.ndarray, ids: np.ndarray, terms: np.ndarray, highest: np.ndarray, lowest: np.ndarray) -> None:
+        # a vector of these ids with the score of the k-th best wins only by a smaller id
+        to_beat = self.scores[at, -1] + (ids[0] >= self.ids[at, -1])
+        bounds = np.maximum(self.queries[at] * highest, self.queries[at] * lowest)
+        order = np.argsort(-bounds.sum(axis=0, dtype=float), kind="stable")
+        left = np.zeros((len(at), len(order) + 1), dtype=np.int64)  # bound of the terms from each place on
+        left[:, :-1] = np.cumsum(bounds[:, order][:, ::-1], axis=1)[:, ::-1]
+        able = left[:, 0] >= to_beat
+        if not able.any():
+            return
+        at, to_beat, left = at[able], to_beat[able], left[able]
+        essential = min(int((left >= to_beat[:, None]).sum(axis=1).max()), len(order))  # terms before this place; left[:, place] < to_beat
+        queries = self.queries[at][:, order]
+        score = queries[:, :essential].astype(self.kind) @ terms[order[:essential]]
+        if essential < len(order):
+            competitive = score >= _exactly(to_beat - left[:, essential], self.kind)[:, None]
+            if np.count_nonzero(competitive) * PROBED <= competitive.size:
+                line, found = np.divmod(np.flatnonzero(competitive), len(ids))
+                self._probe(at, to_beat, left, essential, order, queries, ids, terms, line, found, score[line, found].astype(np.int64))
+                return
+            score += queries[:, essential:].astype(self.kind) @ terms[order[essential:]]
+
+        reach = score >= _exactly(to_beat, self.kind)[:, None]
+        own = self.query_ids[at]
+        first, end = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+        for line in np.flatnonzero(first < end):
+            reach[line, first[line] : end[line]] = False
+        if np.count_nonzero(reach) > 8 * self.k * len(at):
+            chosen = best(score, reach, self.k)
+            line, found = np.repeat(np.arange(len(at)), [len(c) for c in chosen]), np.concatenate(chosen)
         else:
-            essential = int(np.searchsorted(-left, -to_beat, side="right"))  # terms before this place; left[place] < to_beat
-            marked = np.zeros(len(self.ids), dtype=bool)
-            for t in by_bound[:essential]:
-                if query[t]:
-                    marked[self.lists[t][0 if query[t] > 0 else 1]] = True
-                    if marked.all():
-                        break
-            found = np.flatnonzero(marked)
-        score = np.zeros(len(found), dtype=np.int64)
-        for place, t in enumerate(by_bound):
-            if query[t]:
-                score += query[t] * self.terms[t][found]
-            if to_beat is not None and place % 4 == 3:
-                competitive = score + left[place + 1] >= to_beat
-                if not competitive.all():
-                    found, score = found[competitive], score[competitive]
-        others = self.ids[found] != query_id
-        found, score = found[others], score[others]
-        best = np.lexsort((self.ids[found], -score))[:k]
-        return [(int(self.ids[found[b]]), int(score[b])) for b in best]
-
-
-def _packed(rows: DataFrame, group: str, dims: int) -> DataFrame:
+            line, found = np.divmod(np.flatnonzero(reach), len(ids))
+        self._take(at[line], score[line, found].astype(np.int64), ids[found])
+
+    def _probe(self, at, to_beat, left, place, order, queries, ids, terms, line, found, score) -> None:
+        """Add the terms from ``place`` on to the scores of the vectors ``found``, as long as they can win."""
+        others = ids[found] != self.query_ids[at[line]]
+        line, found, score = line[others], found[others], score[others]
+        for here in range(place, len(order)):
+            score = score + queries[line, here] * terms[order[here], found].astype(np.int64)
+            competitive = score + left[line, here + 1] >= to_beat[line]
+            line, found, score = line[competitive], found[competitive], score[competitive]
+        self._take(at[line], score, ids[found])
+
+    def _take(self, line: np.ndarray, score: np.ndarray, vector: np.ndarray) -> None:
+        if not len(line):
+            return
+        touched = np.unique(line)
+        line = np.concatenate([np.repeat(touched, self.k), line])
+        score, vector = np.concatenate([self.scores[touched].ravel(), score]), np.concatenate([self.ids[touched].ravel(), vector])
+        order = np.lexsort((vector, -score, line))
+        first = order[np.searchsorted(line[order], touched)[:, None] + np.arange(self.k)]
+        self.scores[touched], self.ids[touched] = score[first], vector[first]
+
+    def found(self) -> pa.RecordBatch:
+        line, place = np.nonzero(self.scores > NONE)
+        columns = [self.query_ids[line], self.ids[line, place], self.scores[line, place]]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+
+
+def _packed(rows: DataFrame, group: str, dims: int, width: str) -> DataFrame:
     """One row per group: its number, the ids and the weights as bytes. Groups are of bounded size by construction."""
     ship(rows.sparkSession)
 
     def pack(table: pa.Table) -> pa.Table:
-        ids = np.array(table.column("vec_id").to_pylist(), dtype="<i8")
-        weights = np.zeros((len(ids), dims), dtype="<i8")
-        for row, values in zip(weights, table.column("v").to_pylist()):
-            row[: len(values)] = values
+        ids = table.column("vec_id").to_numpy().astype("<i8")
+        weights = _matrix(table.column("v"), dims).astype(width)
         columns = [pa.array([table.column("g")[0].as_py()], pa.int64()), pa.array([ids.tobytes()], pa.binary()), pa.array([weights.tobytes()], pa.binary())]
         return pa.Table.from_arrays(columns, names=["g", "ids", "weights"])
 
@@ -113,37 +162,50 @@ def search(rows: DataFrame, is_query, k: int = K) -> DataFrame:
     ``rows``: vec_id, v (array of long), as from ``quantised``.
     """
     rows = durable(rows, "vectors")
-    n, n_queries, dims, most = rows.agg(
+    squares = F.aggregate("v", F.lit(0.0), lambda sum_, x: sum_ + x.cast("double") * x.cast("double"))
+    n, n_queries, dims, most, reach = rows.agg(
         F.count("*"), F.coalesce(F.sum(is_query.cast("int")), F.lit(0)), F.coalesce(F.max(F.size("v")), F.lit(0)),
         F.coalesce(F.max(F.greatest(F.array_max(F.transform("v", lambda x: F.abs(x))), F.lit(0))), F.lit(0)),
+        F.coalesce(F.max(squares), F.lit(0.0)),
     ).first()
     if most * most * max(dims, 1) >= 2**62 or most < 0:
         raise ValueError(f"components up to {most} in {dims} dimensions: scores could leave 64 bits")
-    n_shards, n_blocks = -(-n // SHARD_VECTORS) or 1, -(-n_queries // QUERY_BLOCK) or 1
+    width = "<i2" if most < 2**15 else "<i4" if most < 2**31 else "<i8"
+    # no sum over some terms of two vectors is larger than the larger of their squared lengths
+    kind = "f4" if reach < 2**24 else "f8" if reach < 2**52 else "i8"
+
+    vector = max(dims, 1) * np.dtype(width).itemsize  # bytes
+    in_shard, in_block = max(1, min(SHARD_VECTORS, SHARD_BYTES // vector)), max(1, min(QUERY_BLOCK, BLOCK_BYTES // vector))
+    n_shards, n_blocks = -(-n // in_shard) or 1, -(-n_queries // in_block) or 1
+    shard_groups = -(-n_shards // max(1, TASK_BYTES // (in_shard * vector)))
+    block_groups = min(n_blocks, max(1, TASKS // shard_groups))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_shards)))
-    shards = durable(_packed(dealt, "shard", dims), "vector-shards")
+    shards = _packed(dealt, "shard", dims, width).repartitionById(shard_groups, F.col("g").cast("int"))
     asked = rows.where(is_query).withColumn("block", F.pmod(F.xxhash64("v", "vec_id"), F.lit(n_blocks)))
-    blocks = durable(_packed(asked, "block", dims), "query-blocks")
-    meetings = blocks.select(F.col("ids").alias("query_ids"), F.col("weights").alias("query_weights"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_shards - 1).cast("bigint"))).alias("g"))
-    pairs = meetings.repartition("g").join(shards, "g")
+    blocks = _packed(asked, "block", dims, width).repartitionById(block_groups, F.col("g").cast("int"))
+    # without the hint a side may be broadcast by the size of its files, which says little of its size in memory
+    pairs = blocks.select("g", F.col("ids").alias("query_ids"), F.col("weights").alias("query_weights")).crossJoin(shards.drop("g").hint("shuffle_replicate_nl"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, postings = None, None
+        def read(batch: pa.RecordBatch, column: str, row: int, kind: str) -> np.ndarray:
+            return np.frombuffer(batch.column(column)[row].as_buffer(), dtype=kind)
+
+        block, asking = None, None
         for batch in batches:
             for row in range(batch.num_rows):
-                query_ids, query_weights, g, ids, weights = (batch.column(i)[row].as_py() for i in range(5))
-                if g != last:
-                    numbers = np.frombuffer(ids, dtype="<i8")
-                    last, postings = g, Postings(numbers, np.frombuffer(weights, dtype="<i8").reshape(len(numbers), dims))
-                out = []
-                numbers = np.frombuffer(query_ids, dtype="<i8")
-                for q, w in zip(numbers.tolist(), np.frombuffer(query_weights, dtype="<i8").reshape(len(numbers), dims)):
-                    out += [(q, v, s) for v, s in postings.top(q, w, k)]
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
-
-    found = pairs.select("query_ids", "query_weights", "g", "ids", "weights").mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+                if (g := batch.column("g")[row].as_py()) != block:  # the shards of a block come one after the other
+                    if asking is not None:
+                        yield asking.found()
+                    ids = read(batch, "query_ids", row, "<i8")
+                    block, asking = g, Search(ids, read(batch, "query_weights", row, width).reshape(len(ids), dims), kind, k)
+                ids = read(batch, "ids", row, "<i8")
+                asking.meet(Postings(ids, read(batch, "weights", row, width).reshape(len(ids), dims), kind))
+        if asking is not None:
+            yield asking.found()
+
+    found = pairs.select("g", "query_ids", "query_weights", "ids", "weights").mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 

@@ -39,7 +39,7 @@ SHARD_VECTORS, SHARD_BYTES = 8192, 4 << 20
 QUERY_BLOCK, BLOCK_BYTES = 1024, 1 << 20
 TASK_BYTES = 16 << 20  # of shards in a task
 TASKS = 4096  # from here on tasks take more blocks instead of being more
-STRETCH, AT_ONCE = 4096, 256  # vectors with bounds of their own, queries that meet them at once
+STRETCH, AT_ONCE = 4096, 128  # vectors with bounds of their own, queries that meet them at once
 PROBED = 32  # one vector in so many, or fewer, is probed by itself
 NONE, LAST = -(2**62), 2**63 - 1  # the score and id of a place that is still free
 
